@@ -115,8 +115,8 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, folder: str, id_col:
         end, last, held, size = int(end_id).to_bytes(4, "little"), (None, 0), ([], [], []), 0
         for ids, texts in rows_of(batches, "doc_id", "text"):
             numbers, nth, last = _numbered(ids, last)
-            for i, k, t in zip(numbers, nth, texts):
-                held[0].append(i), held[1].append(k), held[2].append(e.encode(t) + end)
+            for i, k, raw in zip(numbers, nth, e.encode_many(texts)):
+                held[0].append(i), held[1].append(k), held[2].append(raw + end)
                 size += len(held[2][-1]) // 4
                 if size >= SHARD_IDS:
                     yield pa.RecordBatch.from_pylist([_write_shard(store, root, *held, width)], schema=MANIFEST)

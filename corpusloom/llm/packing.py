@@ -157,8 +157,8 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAP
         e, end = encoder(tokenizer), int(end_id).to_bytes(4, "little")
         for ids, texts in rows_of(batches, "doc_id", "text"):
             rows = []
-            for i, t in zip(ids, texts):
-                raw = e.encode(t) + end
+            for i, raw in zip(ids, e.encode_many(texts)):
+                raw += end
                 for k, at in enumerate(range(0, len(raw), 4 * capacity)):
                     part = raw[at : at + 4 * capacity]
                     rows.append((i, k, at // 4, len(part) // 4, zlib.crc32(part)))

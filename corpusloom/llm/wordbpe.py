@@ -3,19 +3,24 @@
 The vocabulary's pre-tokenizer never joins what white space divides, and drops the white space, so the ids of a text
 are the ids of its words in turn. Words are looked up in a bounded memo. The missing ones of a text are encoded
 together in a few calls: words of letters only are told apart by the mark that ends a word in this vocabulary, all
-others by a digit put between them, which the pre-tokenizer always splits off. A full stop or comma after a letter is
-a pre-token of its own if white space follows, so it is taken off first.
+others by a digit put between them, which the pre-tokenizer always splits off. ASCII punctuation after a last letter is
+a pre-token of its own, so it is taken off first; only an apostrophe may belong to the letters before it.
 """
 
 from __future__ import annotations
 
 import json
 import os
+from collections.abc import Iterator
+from unicodedata import normalize
 
 import numpy as np
 
-#: Words remembered by each Python worker before it starts afresh.
-MEMO = 500_000
+#: Words that a generation of a Python worker's memo holds; the last generation is kept beside the present one.
+MEMO = 250_000
+#: Bytes of text that are taken together.
+CHUNK = 1 << 20
+PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class WordEncoder:
@@ -33,25 +38,28 @@ class WordEncoder:
         self.ends[[i for t, i in vocab.items() if mark and t.endswith(mark)]] = True
         self.memo: dict[bytes, bytes] = {}
         self.cores: dict[bytes, bytes] = {}
-        self.divider = self._ids("0")
-        if self.divider.size != 1 or self._ids("a 0 b0").tolist().count(int(self.divider[0])) != 2:
+        self.old: dict[bytes, bytes] = {}
+        self.old_cores: dict[bytes, bytes] = {}
+        self.dividers = {b"%d" % d: int(self._ids(str(d))[0]) for d in range(10)}
+        if any(self._ids(f"a {d} b{d}").tolist().count(i) != 2 or self._ids(str(d)).size != 1 for d, i in ((int(d), i) for d, i in self.dividers.items())):
             raise ValueError(f"{path} does not split off digits")
-        if self._ids("Ab").tobytes() != self._ids("ab").tobytes() or self._ids("ab.").tobytes() != self._ids("ab .").tobytes() or not mark:
+        if self._ids("Ab").tobytes() != self._ids("ab").tobytes() or self._ids("ab.;").tobytes() != self._ids("ab .;").tobytes() or not mark:
             raise ValueError(f"{path} does not lower-case and mark words as expected")
-        self.tails = {b: self._ids(chr(b)).tobytes() for b in b".,"}
+        self.tails: dict[bytes, bytes] = {}
 
     def _ids(self, text: str, bare: bool = False) -> np.ndarray:
         return np.array((self.bare if bare else self.tokenizer).encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def _divided(self, words: list[bytes], into: dict[bytes, bytes]) -> None:
-        """Learn words of any kind."""
-        plain = [w for w in words if b"0" not in w]
-        for w in words:
-            if b"0" in w:
-                into[w] = self._ids(w.decode("utf-8", "replace")).tobytes()
-        if plain:
-            ids = self._ids(b" 0 ".join(plain).decode("utf-8", "replace"))
-            self._cut(plain, ids, np.flatnonzero(ids == self.divider[0]), 1, into)
+        """Learn words of any kind: those without a digit d are put together with d between them."""
+        left = words
+        for digit, own in self.dividers.items():
+            plain, left = [w for w in left if digit not in w], [w for w in left if digit in w]
+            if plain:
+                ids = self._ids((b" " + digit + b" ").join(plain).decode("utf-8", "replace"))
+                self._cut(plain, ids, np.flatnonzero(ids == own), 1, into)
+        for w in left:
+            into[w] = self._ids(w.decode("utf-8", "replace")).tobytes()
 
     def _letters(self, words: list[bytes], bare: bool) -> None:
         """Learn words of letters only."""
@@ -73,40 +81,61 @@ class WordEncoder:
             at = end + skip
 
     def _learn(self, words: set[bytes]) -> None:
-        memo, cores = self.memo, self.cores
-        if len(cores) > MEMO:
-            cores.clear()
-        ascii_, letters, other, later = set(), set(), [], []
-        for w in words:
-            core = w[:-1] if w[-1] in b".," and w[-2:-1].isalpha() else w
-            if core.isalpha():
-                core = core.lower()
-                if core not in cores:
-                    ascii_.add(core)
-            elif core.isascii() or not core.decode("utf-8", "replace").isalpha():
+        """Take words into the memo, from the last generation's or by encoding them."""
+        if len(self.cores) > MEMO:
+            self.cores, self.old_cores = {}, self.cores
+        memo, old, cores, old_cores, tails = self.memo, self.old, self.cores, self.old_cores, self.tails
+        known = old.keys() & words
+        memo.update([(w, old[w]) for w in known])
+        new = list(words.difference(known))
+        stems = [w.rstrip(PUNCTUATION) for w in new]
+        stems = [c.lower() if c.isalpha() else c for c in stems]
+        missing = set(stems).difference(cores)
+        known = old_cores.keys() & missing
+        cores.update([(c, old_cores[c]) for c in known])
+        missing.difference_update(known)
+        ascii_ = [c for c in missing if c.isalpha()]
+        rest = [c for c in missing if not c.isalpha()]
+        letters = [c for c in rest if not c.isascii() and normalize("NFC", c.decode("utf-8", "replace")).lower().isalpha()]  # and still letters when normalised
+        cores.update(dict.fromkeys(rest))  # None: no word of letters
+        self._letters(ascii_, True)
+        self._letters(letters, False)
+        other = []
+        for w, c in zip(new, stems):
+            ids = cores[c]
+            if ids is None:
                 other.append(w)
-                continue
-            elif core not in cores:
-                letters.add(core)
-            later.append((w, core))
-        self._letters(list(ascii_), True)
-        self._letters(list(letters), False)
+            elif len(c) == len(w):
+                memo[w] = ids
+            else:
+                tail = w[len(c) :]
+                if tail not in tails:
+                    tails[tail] = self._ids(tail.decode()).tobytes()
+                memo[w] = ids + tails[tail]
         self._divided(other, memo)
-        for w, core in later:
-            memo[w] = cores[core] if w[-1] not in b".," else cores[core] + self.tails[w[-1]]
+
+    def encode_many(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers. Texts are taken together, up to CHUNK bytes of
+        them, so that the library is called with many words at once."""
+        at = 0
+        while at < len(texts):
+            size, end = len(texts[at]), at + 1
+            while end < len(texts) and size < CHUNK:
+                size += len(texts[end])
+                end += 1
+            split = [(t if b"<|" in t else t.lower()).split() for t in texts[at:end]]  # only special tokens tell case apart
+            if missing := set().union(*split).difference(self.memo):
+                if len(self.memo) + len(missing) > MEMO:  # the next generation needs all of these texts' words
+                    missing = set().union(*split)
+                    self.memo, self.old = {}, self.memo
+                self._learn(missing)
+            look_up = self.memo.__getitem__
+            for words in split:
+                yield b"".join(map(look_up, words))
+            at = end
 
     def encode(self, text: bytes) -> bytes:
-        """The text's ids as little-endian unsigned 32-bit integers."""
-        words, memo = text.split(), self.memo
-        try:
-            return b"".join(map(memo.__getitem__, words))
-        except KeyError:
-            missing = {w for w in words if w not in memo}
-            if len(memo) + len(missing) > MEMO:
-                memo.clear()
-                missing = set(words)
-            self._learn(missing)
-            return b"".join(map(memo.__getitem__, words))
+        return next(self.encode_many([text]))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
