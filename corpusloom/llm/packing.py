@@ -105,28 +105,29 @@ def local_search(bins: Counter[Bin], capacity: int = CAPACITY, steps: int = STEP
     """Fewer or equally many bins with the same pieces in them."""
     full = Counter({b: n for b, n in bins.items() if sum(b) == capacity})
     under = Counter({b: n for b, n in bins.items() if sum(b) < capacity})
-    while steps > 0 and sum(under.values()) > 1:
-        low = min(under, key=lambda b: (sum(b), b))
-        for high in sorted(under, key=lambda b: (-sum(b), b)):
-            steps -= 1
-            if high == low and under[low] < 2:
-                continue
-            if step := _steps(high, low, capacity):
-                n = min(under[high], under[low]) if high != low else under[low] // 2
-                out, into = Counter(step[0]), Counter(step[1])
-                new_high = tuple(sorted((Counter(high) - out + into).elements(), reverse=True))
-                new_low = tuple(sorted((Counter(low) - into + out).elements(), reverse=True))
-                for b in (high, low):
-                    under[b] -= n
-                under = +under
-                for b in (new_high, new_low):
-                    if b:
-                        (full if sum(b) == capacity else under)[b] += n
+    better = True
+    while better and steps > 0 and sum(under.values()) > 1:
+        better = False
+        by_fill = sorted(under, key=lambda b: (sum(b), b))
+        for k, low in enumerate(by_fill):
+            for high in reversed(by_fill[k:]):
+                steps -= 1
+                if (high != low or under[low] > 1) and (step := _steps(high, low, capacity)):
+                    n = min(under[high], under[low]) if high != low else under[low] // 2
+                    out, into = Counter(step[0]), Counter(step[1])
+                    new_high = tuple(sorted((Counter(high) - out + into).elements(), reverse=True))
+                    new_low = tuple(sorted((Counter(low) - into + out).elements(), reverse=True))
+                    for b in (high, low):
+                        under[b] -= n
+                    under = +under
+                    for b in (new_high, new_low):
+                        if b:
+                            (full if sum(b) == capacity else under)[b] += n
+                    better = True
+                if better or steps <= 0:
+                    break
+            if better or steps <= 0:
                 break
-            if steps <= 0:
-                break
-        else:  # nothing helps the emptiest bin: it is done
-            full[low] += under.pop(low)
     full.update(under)
     return full
 
