@@ -23,12 +23,12 @@ from .common import WHITE, as_docs, materialise, out_batch, rows_of
 
 SYMBOLS = b"#*$%&|<>"
 
-#: metric -> (the least that an upper fence may be, the most that a lower fence may be or None)
-FENCES: dict[str, tuple[int, int | None]] = {
-    "symbols": (1_000, None),  # symbols for 10,000 words
-    "dup_lines": (3_000, None),  # repeated lines in 10,000 lines
-    "repeats": (2_500, None),  # words in repeated windows in 10,000 words
-    "word_len": (12_000, 2_500),  # thousandths of characters a word
+#: metric -> (the least spread between quartiles that counts, whether there is a lower fence too)
+FENCES: dict[str, tuple[int, bool]] = {
+    "symbols": (300, False),  # symbols for 10,000 words
+    "dup_lines": (1_200, False),  # repeated lines in 10,000 lines
+    "repeats": (1_100, False),  # words in repeated windows in 10,000 words
+    "word_len": (500, True),  # thousandths of characters a word
 }
 
 STATS = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("source", pa.string())] + [(n, pa.int64()) for n in ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")])
@@ -109,8 +109,8 @@ def _quartiles(sk: DataFrame, level: list[str], tag: str) -> DataFrame:
 def thresholds(stats: DataFrame, min_group: int = 50, spread_by: int = 3) -> DataFrame:
     """lang, source and, for each metric, its fences: a row for each language and source among the documents.
 
-    A fence lies ``spread_by`` interquartile ranges beyond the quartile, but no nearer than FENCES says, so that
-    a group in which most ratios are equal does not lose the rest.
+    A fence lies ``spread_by`` interquartile ranges beyond the group's own quartile. A range below the least spread of
+    FENCES counts as that, so that a group in which most ratios are equal does not lose the rest.
     """
     sk = materialise(sketches(stats), "sketch")
     groups = stats.select("lang", "source").distinct()
@@ -126,11 +126,12 @@ def thresholds(stats: DataFrame, min_group: int = 50, spread_by: int = 3) -> Dat
     out = out.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang")), "left")
     out = out.join(F.broadcast(whole), F.lit(True), "left")  # one row
     cols = []
-    for m, (least, most) in FENCES.items():
+    for m, (least, two_sided) in FENCES.items():
         q1, q3 = (F.when(F.col(f"o_{m}_n") >= min_group, F.col(f"o_{m}_{c}")).when(F.col(f"l_{m}_n") >= min_group, F.col(f"l_{m}_{c}")).otherwise(F.col(f"a_{m}_{c}")) for c in ("q1", "q3"))
-        cols.append(F.greatest(q3 + spread_by * (q3 - q1), F.lit(least)).cast("long").alias(f"max_{m}"))
-        if most is not None:
-            cols.append(F.least(q1 - spread_by * (q3 - q1), F.lit(most)).cast("long").alias(f"min_{m}"))
+        reach = spread_by * F.greatest(q3 - q1, F.lit(least))
+        cols.append((q3 + reach).cast("long").alias(f"max_{m}"))
+        if two_sided:
+            cols.append((q1 - reach).cast("long").alias(f"min_{m}"))
     return out.select("lang", "source", *cols)
 
 
@@ -144,5 +145,5 @@ def quality_filter(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     stats = materialise(text_stats(docs, id_col, text_col, lang_col, source_col), "stats")
     fences = thresholds(stats, min_group, spread_by).withColumnsRenamed({"lang": "t_lang", "source": "t_source"})
     joined = stats.join(fences, F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source")), "left")
-    within = " AND ".join([f"({RATIOS[m]}) <= max_{m}" for m in FENCES] + [f"({RATIOS[m]}) >= min_{m}" for m, f in FENCES.items() if f[1] is not None])
+    within = " AND ".join([f"({RATIOS[m]}) <= max_{m}" for m in FENCES] + [f"({RATIOS[m]}) >= min_{m}" for m, f in FENCES.items() if f[1]])
     return joined.selectExpr("doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", f"({BASE_FAILED}) AS base_failed", f"NOT ({BASE_FAILED}) AND coalesce({within}, true) AS kept")

@@ -88,11 +88,12 @@ def _quality_sql(min_group: int = 50, spread_by: int = 3) -> str:
             FROM (SELECT *, {_FLOOR} AS f, sum(cnt) OVER (PARTITION BY {part}, metric ORDER BY bucket) AS upto, sum(cnt) OVER (PARTITION BY {part}, metric) AS n
                   FROM (SELECT {by if tag != 'a' else '1'}, metric, bucket, sum(cnt) AS cnt FROM sk GROUP BY ALL)) GROUP BY ALL)""")
     checks = []
-    for m, (least, most) in quality.FENCES.items():
+    for m, (least, two_sided) in quality.FENCES.items():
         q = lambda c, m=m: f"(SELECT CASE WHEN o.n >= {min_group} THEN o.{c} WHEN l.n >= {min_group} THEN l.{c} ELSE a.{c} END FROM q_a a LEFT JOIN q_o o ON o.metric = a.metric AND o.lang IS NOT DISTINCT FROM s.lang AND o.source IS NOT DISTINCT FROM s.source LEFT JOIN q_l l ON l.metric = a.metric AND l.lang IS NOT DISTINCT FROM s.lang WHERE a.metric = '{m}')"
-        checks.append(f"{ratios[m]} <= greatest({q('q3')} + {spread_by} * ({q('q3')} - {q('q1')}), {least})")
-        if most is not None:
-            checks.append(f"{ratios[m]} >= least({q('q1')} - {spread_by} * ({q('q3')} - {q('q1')}), {most})")
+        reach = f"{spread_by} * greatest({q('q3')} - {q('q1')}, {least})"
+        checks.append(f"{ratios[m]} <= {q('q3')} + {reach}")
+        if two_sided:
+            checks.append(f"{ratios[m]} >= {q('q1')} - {reach}")
     stack = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS metric, CAST({e} AS BIGINT) AS v FROM s WHERE NOT base_failed" for m, e in ratios.items())
     return f"""
     WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
