@@ -46,7 +46,7 @@ def _shared(rows: DataFrame, *keys: str) -> DataFrame:
 def _judged(rows: DataFrame, groups: DataFrame, *keys: str) -> DataFrame:
     """Rows with their new group; ``rest`` stays only where the group goes on."""
     on = [rows[k] == groups[f"g_{k}"] for k in keys]
-    joined = rows.join(groups, on, "left")
+    joined = rows.join(groups.hint("merge"), on, "left")  # as many groups as copies in the data: never broadcast
     go_on = F.col("n").isNotNull() & ~F.col("ended")
     return materialise(joined.select("doc_id", "sha", groups.gid.alias("gid"), "n", "keep", F.when(go_on, F.col("rest")).alias("rest")), "round")
 
