@@ -306,3 +306,9 @@ def token_set(c: Column | str) -> Column:
 def jaccard(a: Column, b: Column) -> Column:
     """SIM-01: of two arrays of distinct items; 0 if either is empty."""
     return F.when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(F.size(F.array_intersect(a, b)) / F.greatest(F.size(F.array_union(a, b)), F.lit(1)))
+
+
+def run_id(at: Column | None = None) -> Column:
+    """DAT-01: a run's id from its time in UTC, by default the query's own, which is one value for all rows."""
+    utc = F.to_utc_timestamp(F.current_timestamp() if at is None else at, F.current_timezone())
+    return F.date_format(utc, "yyyyMMdd'T'HHmmss'Z'")

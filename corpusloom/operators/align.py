@@ -139,6 +139,19 @@ def training_ready(pairs: DataFrame) -> DataFrame:
     return out.filter("source_token_count > 0 AND target_token_count > 0").withColumn("is_training_ready", F.lit(1))
 
 
+def high_confidence(pairs: DataFrame) -> DataFrame:
+    """FLT-11: pairs whose boundary was searched for and whose first word is the marker."""
+    return pairs.filter("first_word_match = 1 AND boundary_method = 'marker_search'")
+
+
+def clues(markers: DataFrame, order: list[str], columns: list[str], key: str = "text_uuid") -> DataFrame:
+    """SRT-03: key, clues: a document's markers as an array, by the first of the order columns that exists, then all others."""
+    by = [c for c in order if c in markers.columns][:1] + columns
+    sort = F.struct(*[F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v")).alias(f"o{k}") for k, c in enumerate(by)])
+    grouped = markers.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(sort.alias("o"), F.struct(*columns).alias("c")))).alias("m"))
+    return grouped.select(key, F.transform("m", lambda m: m["c"]).alias("clues"))
+
+
 # ---- replies of an aligning model -------------------------------------------------------------------------------
 
 VERDICTS = "array<struct<pair_index: int, reason: string, source: string, target: string, source_pos: int, target_pos: int>>"

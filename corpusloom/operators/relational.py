@@ -109,6 +109,13 @@ def id_sets(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return both.agg(count("l = 1").alias("n_left"), count("r = 1").alias("n_right"), count("l = 1 AND r = 1").alias("n_both"), count("r IS NULL").alias("n_left_only"), count("l IS NULL").alias("n_right_only"))
 
 
+def seeded_split(df: DataFrame, share: float, seed: int, *key: str) -> DataFrame:
+    """ALN-16: ``split`` is valid for about ``share`` of the rows, by a seeded hash of the key: the same rows whatever the
+    partitions. With a document's id as the key no document is in both splits."""
+    place = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(1_000_000))
+    return df.withColumn("split", F.when(place < int(share * 1_000_000), "valid").otherwise("train"))
+
+
 def length_buckets(df: DataFrame, size: Column | str, buckets: int, batch: int, key: str) -> DataFrame:
     """WIN-08, WIN-09: rows by rising size in equal buckets, the remainder in the last, and the batch within the bucket.
 

@@ -429,6 +429,29 @@ def agg03_agg04_run_summary(spark, sf_dir):
     return out.select("sentence_pairs", "boundary_marker_search", "repaired_starts", "first_word_match_percent")
 
 
+@query(f"SELECT sentence_row_id, source_sentence_clean FROM ({_PAIRS_SQL}) WHERE first_word_match = 1 AND boundary_method = 'marker_search'")
+def flt11_high_confidence(spark, sf_dir):
+    pairs = pipelines.build_pairs(train_documents(spark, sf_dir), turn_markers(spark, sf_dir))["pairs"]
+    return align.high_confidence(pairs).select("sentence_row_id", "source_sentence_clean")
+
+
+@query("SELECT CAST(conv_id AS VARCHAR) AS text_uuid, string_agg(CAST(turn AS VARCHAR), ',' ORDER BY turn) AS clues FROM conversations GROUP BY conv_id")
+def srt03_agg01_clues(spark, sf_dir):
+    found = align.clues(turn_markers(spark, sf_dir), ["no_such_order", "sentence_obj_in_text"], ["line_number"])
+    return found.select("text_uuid", F.array_join(F.transform("clues", lambda c: c["line_number"]), ",").alias("clues"))
+
+
+@query()
+def aln16_seeded_split(spark, sf_dir):
+    return relational.seeded_split(load(spark, sf_dir, "documents").select("doc_id"), 0.05, 42, "doc_id")
+
+
+@query("SELECT event_id, strftime(ts, '%Y%m%dT%H%M%SZ') AS run_id FROM events")
+def dat01_run_ids(spark, sf_dir):
+    at = F.to_timestamp(F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC")), "yyyy-MM-dd HH:mm:ss z")
+    return load(spark, sf_dir, "events").select("event_id", X.run_id(at).alias("run_id"))
+
+
 @query()
 def aln05_join09_set01_srt02_unmatched(spark, sf_dir):
     docs = align.canonical_pairs(train_documents(spark, sf_dir))

@@ -126,3 +126,26 @@ def test_row_ids_and_buckets(spark):
     assert [i for i, _ in sorted(got.items(), key=lambda x: x[1])] == sorted(range(100), key=lambda i: (i % 7, i)) and sorted(got.values()) == list(range(100))
     rows = relational.length_buckets(df, "g", 3, 10, "id").collect()
     assert sorted({r.bucket for r in rows}) == [0, 1, 2] and sum(r.bucket == 2 for r in rows) == 34
+
+
+def test_programs_on_files(spark, tmp_path):
+    from corpusloom.__main__ import main
+
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "train.csv").write_text('oare_id,transliteration,translation\nd,"a-na A-šùr um-ma","To Assur"\n')
+    (src / "marks.csv").write_text("text_uuid,sentence_uuid,sentence_obj_in_text,first_word_obj_in_text,first_word_transcription,line_number,translation\nd,s1,1,1,a-na,1,To\nd,s2,2,3,um-ma,2,Say\n")
+    (src / "publications.csv").write_text('pdf_name,page,page_text,has_akkadian\nx,1,"see KTS 12\nend",True\n')
+    (src / "published_texts.csv").write_text(",".join(c.split()[0] for c in tables.SCHEMAS["published_texts"].split(", ")) + "\no1,,P111111,,KTS 12" + "," * 13 + "t\n")
+    main(["pairs", "--input", f"file://{src}", "--output", f"file://{tmp_path}/out", "--markers", "marks.csv"], spark)
+    main(["link", "--input", f"file://{src}", "--output", f"file://{tmp_path}/out"], spark)
+    assert [r.source_sentence_raw for r in spark.read.parquet(f"file://{tmp_path}/out/pairs").orderBy("sentence_obj_in_text").collect()] == ["a-na A-šùr", "um-ma"]
+    assert spark.read.parquet(f"file://{tmp_path}/out/history").first().sentence_pairs == 2
+    assert [(r.oare_id, r.page_text) for r in spark.read.parquet(f"file://{tmp_path}/out/shortlist").collect()] == [("o1", "see KTS 12 end")]
+
+
+def test_seeded_split_is_stable(spark):
+    df = spark.range(2000)
+    one = {r.id: r.split for r in relational.seeded_split(df, 0.05, 42, "id").collect()}
+    assert one == {r.id: r.split for r in relational.seeded_split(df.repartition(7), 0.05, 42, "id").collect()}
+    assert 60 < sum(v == "valid" for v in one.values()) < 140
