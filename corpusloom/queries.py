@@ -385,11 +385,13 @@ def turn_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_PAIRS_SQL = f"""
+def _pairs_sql(markers: str = "true") -> str:
+    """Marker search over the markers that a condition admits."""
+    return f"""
 WITH RECURSIVE d AS (SELECT conv_id, {s_words("string_agg(coalesce(text, ''), ' ' ORDER BY turn)")} AS toks FROM conversations GROUP BY conv_id),
 dk AS (SELECT conv_id, toks, list_transform(toks, lambda t: {s_key('t')}) AS keys, len(toks) AS n FROM d WHERE len(toks) > 0),
 m0 AS (SELECT conv_id, turn, coalesce({s_words('text')}[1], '') AS fw, coalesce(sum(len({s_words('text')})) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM conversations),
-m AS (SELECT conv_id, turn, place, {s_key('fw')} AS mk, row_number() OVER (PARTITION BY conv_id ORDER BY place, turn) - 1 AS k, count(*) OVER (PARTITION BY conv_id) AS total FROM m0),
+m AS (SELECT conv_id, turn, place, {s_key('fw')} AS mk, row_number() OVER (PARTITION BY conv_id ORDER BY place, turn) - 1 AS k, count(*) OVER (PARTITION BY conv_id) AS total FROM m0 WHERE {markers}),
 f AS (SELECT conv_id, CAST(-1 AS BIGINT) AS k, CAST(0 AS BIGINT) AS cur, CAST(0 AS BIGINT) AS raw, '' AS method FROM dk
 UNION ALL
 SELECT conv_id, k, greatest(cur, coalesce(hit, least(place, n - 1))), coalesce(hit, least(place, n - 1)), CASE WHEN hit IS NOT NULL THEN 'marker_search' ELSE 'first_word_obj_fallback' END
@@ -404,6 +406,9 @@ CAST(raw + 1 AS INTEGER) AS source_start_word_idx_raw, CAST(st <> raw AS INTEGER
 CAST(mk <> '' AND (starts_with(keys[st + 1], mk) OR starts_with(mk, keys[st + 1])) AS INTEGER) AS first_word_match
 FROM o WHERE {s_translit("array_to_string(toks[st + 1:en], ' ')")} <> ''"""
 
+
+_PAIRS_SQL = _pairs_sql()
+
 _SLIM = ["sentence_row_id", "text_uuid", "source_start_word_idx", "source_end_word_idx_exclusive", "boundary_method", "source_start_word_idx_raw", "source_start_idx_repaired", "source_sentence_clean", "first_word_match"]
 
 
@@ -452,7 +457,9 @@ def dat01_run_ids(spark, sf_dir):
     return load(spark, sf_dir, "events").select("event_id", X.run_id(at).alias("run_id"))
 
 
-@query()
+@query(f"""WITH p AS ({_pairs_sql('turn > 0')})
+SELECT CAST(conv_id AS VARCHAR) AS text_uuid, conv_id * 1000 + turn AS sentence_row_id, CAST(turn AS DOUBLE) AS sentence_obj_in_text, 'alignment_not_generated' AS unmatched_reason FROM conversations WHERE turn > 0 AND conv_id * 1000 + turn NOT IN (SELECT sentence_row_id FROM p)
+UNION ALL SELECT DISTINCT CAST(conv_id AS VARCHAR), NULL, NULL, 'no_sentence_markers' FROM conversations WHERE conv_id NOT IN (SELECT conv_id FROM conversations WHERE turn > 0)""")
 def aln05_join09_set01_srt02_unmatched(spark, sf_dir):
     docs = align.canonical_pairs(train_documents(spark, sf_dir))
     markers = turn_markers(spark, sf_dir).filter("sentence_obj_in_text > 0")
@@ -481,7 +488,19 @@ def alignment_replies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     return docs, first, second
 
 
-@query()
+_VERDICTS_SQL = f"""
+WITH RECURSIVE t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k, {s_space('text')} AS t FROM conversations),
+d AS (SELECT conv_id, {s_space("string_agg(coalesce(text, ''), ' ' ORDER BY turn)")} AS doc FROM conversations GROUP BY conv_id),
+f AS (SELECT conv_id, CAST(0 AS BIGINT) AS k, CAST(-1 AS BIGINT) AS pos, CAST([] AS VARCHAR[]) AS seen, CAST([] AS VARCHAR[]) AS last, '' AS reason FROM d
+UNION ALL
+SELECT conv_id, k, CASE WHEN reason = 'accepted' THEN pos + hit ELSE pos END, CASE WHEN reason = 'accepted' THEN list_append(seen, t) ELSE seen END, CASE WHEN reason = 'accepted' THEN toks ELSE last END, reason
+FROM (SELECT *, CASE WHEN t = '' THEN 'empty_source_or_target' WHEN NOT contains(doc, t) THEN 'not_exact_substring' WHEN list_contains(seen, t) THEN 'duplicate_pair' WHEN hit = 0 THEN 'order_position_not_found'
+  WHEN len(last) > 0 AND len(list_intersect(toks, last)) / len(list_distinct(toks || last)) >= 0.95 THEN 'near_duplicate_overlap' ELSE 'accepted' END AS reason
+  FROM (SELECT f.conv_id, t.k, f.pos, f.seen, f.last, t.t, d.doc, strpos(substr(d.doc, CAST(f.pos + 2 AS BIGINT)), t.t) AS hit, list_distinct({s_words('lower(t.t)')}) AS toks FROM f JOIN t ON t.conv_id = f.conv_id AND t.k = f.k + 1 JOIN d ON d.conv_id = f.conv_id)))
+SELECT CAST(conv_id AS VARCHAR) AS oare_id, CAST(k AS INTEGER) AS pair_index, reason, CAST(CASE WHEN reason = 'accepted' THEN pos ELSE -1 END AS INTEGER) AS source_pos, CAST(CASE WHEN reason = 'accepted' THEN pos ELSE -1 END AS INTEGER) AS target_pos, 'clue' AS source_method, 'inferred' AS target_method, 0.9::DOUBLE AS alignment_confidence FROM f WHERE k > 0"""
+
+
+@query(_VERDICTS_SQL)
 def aln06_win07_win11_validated_pairs(spark, sf_dir):
     docs, first, _ = alignment_replies(spark, sf_dir)
     return align.validated_pairs(docs.join(first, "oare_id").withColumn("pairs", J.parse_reply("reply", J.ALIGNMENT_REPLY)["pairs"])).select("oare_id", "pair_index", "reason", "source_pos", "target_pos", "source_method", "target_method", "alignment_confidence")
@@ -644,12 +663,61 @@ def sim05_mth03_geo_score(spark, sf_dir):
     return metrics.geo_score(turn_pairs(spark, sf_dir)).select("id", F.round("geo", 4).alias("geo"))
 
 
-@query()
+_MARKS = r'''[!"#$%&\'\'()*+,\-./:;<=>?@\[\\\]^_`{|}~]'''.replace("\\'", "'")
+_CHRF_KINDS = [f"c{n}" for n in range(1, 7)] + [f"w{n}" for n in range(1, 3)]
+
+
+def _chrf_grams(kind: str) -> str:
+    n = int(kind[1])
+    if kind[0] == "c":
+        return f"SELECT id, side, substr(t, i, {n}) AS gram FROM csides, unnest(range(1, length(t) - {n - 2})) x(i)"
+    return f"SELECT id, side, array_to_string(w[i:i + {n - 1}], ' ') AS gram FROM csides, unnest(range(1, len(w) - {n - 2})) x(i)"
+
+
+def _chrf_ctes(pairs: str) -> str:
+    text = f"regexp_replace({{}}, '{_WS}+', '', 'g')"
+    split = f"flatten(list_transform({s_words('{}')}, lambda w: CASE WHEN length(w) = 1 THEN [w] WHEN regexp_matches(w, '{_MARKS}$') THEN [w[:-2], w[-1]] WHEN regexp_matches(w, '^{_MARKS}') THEN [w[1], w[2:]] ELSE [w] END))".replace("{}", "§")
+    side = lambda c, n: f"SELECT id, '{n}' AS side, {text.replace('{}', c)} AS t, {split.replace('§', c)} AS w FROM cp"
+    return f"cp AS (SELECT id, coalesce(hyp, '') AS hyp, coalesce(ref, '') AS ref FROM {pairs}), csides AS ({side('hyp', 'h')} UNION ALL {side('ref', 'r')}), " + ", ".join(_overlap_sql(f"o{k}", _chrf_grams(k)) for k in _CHRF_KINDS)
+
+
+def _chrf_score(col) -> str:
+    used = [f"(coalesce({col(k, 'nh')}, 0) > 0 AND coalesce({col(k, 'nr')}, 0) > 0)" for k in _CHRF_KINDS]
+    orders = "greatest(" + " + ".join(f"CASE WHEN {u} THEN 1 ELSE 0 END" for u in used) + ", 1)"
+    mean = lambda side: "(" + " + ".join(f"CASE WHEN {u} THEN {col(k, 'hit')} / {col(k, side)} ELSE 0 END" for k, u in zip(_CHRF_KINDS, used)) + f") / {orders}"
+    return f"CASE WHEN {mean('nh')} + {mean('nr')} > 0 THEN 100 * 5.0 * ({mean('nh')}) * ({mean('nr')}) / (4.0 * ({mean('nh')}) + {mean('nr')}) ELSE 0 END"
+
+
+def chrf_sql(pairs: str, digits: int = 6) -> str:
+    joins = " ".join(f"LEFT JOIN o{k} ON o{k}.id = cp.id" for k in _CHRF_KINDS)
+    return f"WITH {_chrf_ctes(pairs)} SELECT cp.id, round({_chrf_score(lambda k, c: f'o{k}.{c}')}, {digits})::DOUBLE AS chrf FROM cp {joins}"
+
+
+@query(chrf_sql(_TURN_PAIRS))
 def sim06_sentence_chrf(spark, sf_dir):
     return metrics.chrf(turn_pairs(spark, sf_dir)).select("id", F.round("chrf", 6).alias("chrf"))
 
 
-@query()
+_13A = "' ' || replace(replace(replace(replace(replace(replace(replace(§, '<skipped>', ''), '-' || chr(10), ''), chr(10), ' '), '&quot;', '\"'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>') || ' '"
+for _p, _r in ((r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", r" \1 "), (r"([^0-9])([\.,])", r"\1 \2 "), (r"([\.,])([^0-9])", r" \1 \2"), (r"([0-9])(-)", r"\1 \2 ")):
+    _13A = f"regexp_replace({_13A}, '{_p}', '{_r}', 'g')"
+
+
+def _corpus_sql() -> str:
+    bleu = ", ".join(_overlap_sql(f"b{n}", _word_grams(n)) for n in range(1, 5))
+    sums = [f"(SELECT sum({c}) FROM o{k}) AS o{k}_{c}" for k in _CHRF_KINDS for c in ("hit", "nh", "nr")] + [f"coalesce((SELECT sum({c}) FROM b{n}), 0) AS b{n}_{c}" for n in range(1, 5) for c in ("hit", "nh", "nr")]
+    logs = []
+    for n in range(1, 5):
+        zeros = " + ".join(f"CASE WHEN b{m}_hit = 0 THEN 1 ELSE 0 END" for m in range(1, n + 1))
+        logs.append(f"ln(CASE WHEN b{n}_hit > 0 THEN b{n}_hit / b{n}_nh ELSE 1 / (pow(2, {zeros}) * greatest(b{n}_nh, 1)) END)")
+    score = f"CASE WHEN b1_hit = 0 OR b4_nh = 0 THEN 0 ELSE 100 * CASE WHEN b1_nh >= b1_nr THEN 1 ELSE exp(1 - b1_nr / b1_nh) END * exp(({' + '.join(logs)}) / 4) END"
+    tokens = lambda c: s_words(_13A.replace("§", f"coalesce({c}, '')"))
+    return f"""WITH {_chrf_ctes(_TURN_PAIRS)}, p AS (SELECT id, {tokens('hyp')} AS h, {tokens('ref')} AS r FROM {_TURN_PAIRS}), sides AS (SELECT id, 'h' AS side, h AS w FROM p UNION ALL SELECT id, 'r', r FROM p), {bleu},
+s AS (SELECT {', '.join(sums)}), z AS (SELECT {score} AS bleu, {_chrf_score(lambda k, c: f'o{k}_{c}')} AS chrf FROM s)
+SELECT round(bleu, 6)::DOUBLE AS bleu, round(chrf, 6)::DOUBLE AS chrf, round(sqrt(bleu * chrf), 6)::DOUBLE AS score FROM z"""
+
+
+@query(_corpus_sql())
 def sim07_sim08_sim09_agg13_corpus_score(spark, sf_dir):
     return metrics.corpus_score(turn_pairs(spark, sf_dir)).select(*[F.round(c, 6).alias(c) for c in ("bleu", "chrf", "score")])
 
