@@ -126,8 +126,11 @@ def line_cuts(docs: DataFrame, rare: float = RARE, rare_docs: int = RARE_DOCS, m
         lines = lines.join(again, "doc_id", "left_anti")
     has = lines.select("doc_id", F.explode(F.array_distinct("lines")).alias("line"))
     most = max(rare_docs, int(lines.count() * rare))
-    shared = has.groupBy("line").agg(F.count("*").alias("df"), F.min("doc_id").alias("first")).filter(f"df BETWEEN 2 AND {most}")
-    pairs = has.join(shared, "line").filter("doc_id <> first").select("doc_id", "first").distinct()
+    counts = has.groupBy("line").agg(F.count("*").alias("df"), F.min("doc_id").alias("first")).filter("df > 1")
+    counts = materialise(counts, "counts")
+    common = F.broadcast(counts.filter(F.col("df") > most).select("line"))  # no more than 1 / rare times the lines of an average document
+    shared = counts.filter(F.col("df") <= most).select("line", "first")
+    pairs = has.join(common, "line", "left_anti").join(shared, "line").filter("doc_id <> first").select("doc_id", "first").distinct()
     theirs = lines.select(F.col("doc_id").alias("first"), F.col("lines").alias("their_lines"))
     both = pairs.join(theirs, "first").join(lines, "doc_id").select("doc_id", "lines", "words", "their_lines")
     cuts = both.mapInArrow(lambda b: _align(b, min_words), "doc_id long, cuts array<int>").filter("size(cuts) > 0")
@@ -147,7 +150,8 @@ def drop_common_lines(docs: DataFrame, rare: float = RARE, rare_docs: int = RARE
     cuts = materialise(line_cuts(docs, rare, rare_docs, min_words, id_col, text_col), "cuts").toDF("__of", "__cuts")
     others = [c for c in docs.columns if c != text_col]
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("__text")
-    rows = docs.join(cuts, docs[id_col] == cuts["__of"], "left").select(*[F.col(f"`{c}`") for c in others], text, "__cuts")
+    cut = cuts.hint("merge")  # cuts grow with the documents: never broadcast
+    rows = docs.join(cut, docs[id_col] == cuts["__of"], "left").select(*[F.col(f"`{c}`") for c in others], text, "__cuts")
     schema = T.StructType([docs.schema[c] for c in others] + [T.StructField("__text", T.BinaryType()), T.StructField("n_lines", T.LongType()), T.StructField("n_cut", T.LongType())])
     names = schema.names
     out = rows.mapInArrow(lambda b: _drop_lines(b, names), schema)
