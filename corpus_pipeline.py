@@ -39,7 +39,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Documents whose doc_id names their group; a group without any doc_id keeps its rows."""
     groups = materialise(simhash.near_groups(docs), "near")
     gone = groups.filter("component_id IS NOT NULL AND NOT doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(gone, docs.doc_id.eqNullSafe(gone.doc_id), "left_anti").select(*COLUMNS)
+    return docs.join(gone.hint("merge"), docs.doc_id.eqNullSafe(gone.doc_id), "left_anti").select(*COLUMNS)
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -289,8 +289,9 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def _without(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> DataFrame:
     others = [c for c in docs.columns if c != text_col]
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("__text")
+    # spans grow with the documents: never broadcast
     same = (docs[id_col] == spans["__of"]) & (F.xxhash64(F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))) == spans["__digest"])
-    rows = docs.join(spans, same, "left").select(*[F.col(f"`{c}`") for c in others], text, "__spans")
+    rows = docs.join(spans.hint("merge"), same, "left").select(*[F.col(f"`{c}`") for c in others], text, "__spans")
     schema = T.StructType([docs.schema[c] for c in others] + [T.StructField("__text", T.BinaryType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
     names = schema.names
 

@@ -28,7 +28,7 @@ FACTORS, FEATURES, MIN_DOCS = 4, 1024, 3
 TRAIN_ROWS = 12_000
 CUT = 0.3
 #: Terms remembered by each Python worker before it starts afresh.
-MEMO = 600_000
+MEMO = 200_000
 
 TERMS = pa.schema([("doc_id", pa.int64()), ("terms", pa.list_(pa.int32()))])
 SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
