@@ -33,6 +33,7 @@ MAGIC, VERSION, HEADER = 0x4D504849, 1, 8
 #: Ids in a shard before the next begins, whatever the partition holds.
 SHARD_IDS = 1 << 24
 NULL_ID = -(1 << 63)
+READ_AHEAD = 1 << 22
 
 MANIFEST = pa.schema([("shard", pa.string()), ("first_id", pa.int64()), ("first_nth", pa.int64()), ("docs", pa.int64()), ("ids", pa.int64()), ("width", pa.int32())])
 READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
@@ -78,6 +79,7 @@ class Shard:
             at += parts[-1].nbytes
         self.index, self.offsets, self.lengths = PerfectHash(parts[0], parts[1]), parts[2], parts[3]
         self.file = store.open_input_file(f"{root}/{name}.ids")
+        self.at, self.held = 0, b""
 
     def find(self, doc_ids: np.ndarray, nth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Offset and number of ids of each document; -1 where it is not in the shard."""
@@ -85,8 +87,12 @@ class Shard:
         return np.where(slots < 0, -1, self.offsets[slots].astype(np.int64)), np.where(slots < 0, -1, self.lengths[slots].astype(np.int64))
 
     def read(self, offset: int, n: int) -> np.ndarray:
-        self.file.seek(offset * self.width)
-        return np.frombuffer(self.file.read(n * self.width), f"<u{self.width}").astype("<u4")
+        """n ids from an offset; READ_AHEAD bytes are fetched at a time, for readers that go through a shard in order."""
+        at, size = offset * self.width, n * self.width
+        if not self.at <= at <= at + size <= self.at + len(self.held):
+            self.file.seek(at)
+            self.at, self.held = at, self.file.read(max(size, READ_AHEAD))
+        return np.frombuffer(self.held, f"<u{self.width}", n, at - self.at).astype("<u4")
 
 
 def _numbered(ids: list[int | None], last: tuple[int | None, int]) -> tuple[list[int], list[int], tuple[int | None, int]]:

@@ -17,9 +17,9 @@ from unicodedata import normalize
 import numpy as np
 
 #: Words that a generation of a Python worker's memo holds; the last generation is kept beside the present one.
-MEMO = 250_000
+MEMO = 400_000
 #: Bytes of text that are taken together.
-CHUNK = 1 << 20
+CHUNK = 1 << 21
 PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -37,9 +37,7 @@ class WordEncoder:
         self.ends = np.zeros(self.vocab_size, bool)
         self.ends[[i for t, i in vocab.items() if mark and t.endswith(mark)]] = True
         self.memo: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        self.old_cores: dict[bytes, bytes] = {}
         self.dividers = {b"%d" % d: int(self._ids(str(d))[0]) for d in range(10)}
         if any(self._ids(f"a {d} b{d}").tolist().count(i) != 2 or self._ids(str(d)).size != 1 for d, i in ((int(d), i) for d, i in self.dividers.items())):
             raise ValueError(f"{path} does not split off digits")
@@ -62,14 +60,15 @@ class WordEncoder:
             into[w] = self._ids(w.decode("utf-8", "replace")).tobytes()
 
     def _letters(self, words: list[bytes], bare: bool) -> None:
-        """Learn words of letters only."""
+        """Learn words of letters only; ``bare``: of ASCII letters."""
         if words:
-            ids = self._ids(b" ".join(words).decode(), bare)
+            text = b" ".join(words)
+            ids = self._ids((text.lower() if bare else text).decode(), bare)
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(words):
-                self._cut(words, ids, cuts[:-1], 0, self.cores)
+                self._cut(words, ids, cuts[:-1], 0, self.memo)
             else:  # lower-casing made something else of a letter
-                self._divided(words, self.cores)
+                self._divided(words, self.memo)
 
     @staticmethod
     def _cut(words: list[bytes], ids: np.ndarray, cuts: np.ndarray, skip: int, into: dict[bytes, bytes]) -> None:
@@ -82,37 +81,35 @@ class WordEncoder:
 
     def _learn(self, words: set[bytes]) -> None:
         """Take words into the memo, from the last generation's or by encoding them."""
-        if len(self.cores) > MEMO:
-            self.cores, self.old_cores = {}, self.cores
-        memo, old, cores, old_cores, tails = self.memo, self.old, self.cores, self.old_cores, self.tails
-        known = old.keys() & words
-        memo.update([(w, old[w]) for w in known])
-        new = list(words.difference(known))
-        stems = [w.rstrip(PUNCTUATION) for w in new]
-        stems = [c.lower() if c.isalpha() else c for c in stems]
-        missing = set(stems).difference(cores)
-        known = old_cores.keys() & missing
-        cores.update([(c, old_cores[c]) for c in known])
-        missing.difference_update(known)
-        ascii_ = [c for c in missing if c.isalpha()]
-        rest = [c for c in missing if not c.isalpha()]
-        letters = [c for c in rest if not c.isascii() and normalize("NFC", c.decode("utf-8", "replace")).lower().isalpha()]  # and still letters when normalised
-        cores.update(dict.fromkeys(rest))  # None: no word of letters
-        self._letters(ascii_, True)
-        self._letters(letters, False)
-        other = []
-        for w, c in zip(new, stems):
-            ids = cores[c]
-            if ids is None:
-                other.append(w)
-            elif len(c) == len(w):
-                memo[w] = ids
+        memo, old, tails = self.memo, self.old, self.tails
+        memo.update([(w, old[w]) for w in old.keys() & words])
+        new = words.difference(memo)
+        plain = {w for w in new if w.isalpha()}  # ASCII letters
+        letters, punctuated, other = set(), [], []
+        for w in new - plain:
+            stem = w.rstrip(PUNCTUATION)
+            if stem.isalpha():
+                into = plain
+            elif not stem.isascii() and normalize("NFC", stem.decode("utf-8", "replace")).lower().isalpha():  # still letters when normalised
+                into = letters
             else:
-                tail = w[len(c) :]
-                if tail not in tails:
-                    tails[tail] = self._ids(tail.decode()).tobytes()
-                memo[w] = ids + tails[tail]
+                other.append(w)
+                continue
+            if stem not in memo:
+                if stem in old:
+                    memo[stem] = old[stem]
+                else:
+                    into.add(stem)
+            if len(stem) < len(w):
+                punctuated.append((w, stem))
+        self._letters(list(plain), True)
+        self._letters(list(letters), False)
         self._divided(other, memo)
+        for w, stem in punctuated:
+            tail = w[len(stem) :]
+            if tail not in tails:
+                tails[tail] = self._ids(tail.decode()).tobytes()
+            memo[w] = memo[stem] + tails[tail]
 
     def encode_many(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers. Texts are taken together, up to CHUNK bytes of
