@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -12,7 +13,7 @@ from ..functions import jsons as J
 from ..functions import text as X
 from .relational import first_by, keep_columns, union_all
 
-STARTS = "array<struct<start: int, method: string>>"
+SLICES = "array<struct<raw: int, start: int, end: int, method: string>>"
 
 
 def canonical_pairs(train: DataFrame, ratio: float = 0.1, salt: str = "deep_past_split_v1", id_col: str = "oare_id") -> DataFrame:
@@ -52,10 +53,20 @@ def resolve_starts(tokens: list[str], markers: list[str], places: list[int | Non
     return out
 
 
+def slices(starts: list[int], n: int) -> list[tuple[int, int]]:
+    """WIN-02, WIN-03: starts within the document and never falling, each with the next one as its end, one token at least."""
+    fixed = list(accumulate((min(max(s, 0), n - 1) for s in starts), max))
+    return [(a, b if b > a else min(n, a + 1)) for a, b in zip(fixed, [*fixed[1:], n])]
+
+
 def _resolve(strict_empty: bool):
-    @F.pandas_udf(STARTS)
+    @F.pandas_udf(SLICES)
     def resolve(tokens: pd.Series, markers: pd.Series, places: pd.Series) -> pd.Series:
-        return pd.Series([[{"start": s, "method": m} for s, m in resolve_starts(list(t), list(k), list(p), strict_empty)] for t, k, p in zip(tokens, markers, places)])
+        out = []
+        for t, m, p in zip(tokens, markers, places):
+            found = resolve_starts(list(t), list(m), list(p), strict_empty)
+            out.append([{"raw": s, "start": a, "end": b, "method": how} for (s, how), (a, b) in zip(found, slices([s for s, _ in found], len(t)))])
+        return pd.Series(out)
 
     return resolve
 
@@ -81,9 +92,9 @@ def _documents(canonical: DataFrame, id_col: str = "oare_id") -> DataFrame:
 def sentence_pairs(canonical: DataFrame, markers: DataFrame, strict_empty: bool = False, id_col: str = "oare_id") -> DataFrame:
     """ALN-03, ALN-04: a row for each marker whose slice of its document is not blank after cleaning.
 
-    A document's tokens and ordered markers meet in one row (both are as long as the document), the search runs on
-    Arrow batches of such rows, and what follows is columns: starts clamped to the document and made non-decreasing by
-    a running maximum, ends from the next start, one token at least.
+    A document's tokens and ordered markers meet in one row (both are as long as the document) and the search runs on
+    Arrow batches of such rows. Slices are taken there too, before markers become rows again, so no row carries a
+    document that it does not need, and nothing is shuffled after the one join.
     """
     docs = _documents(canonical, id_col).withColumn("tokens", X.words("transliteration")).filter(F.size("tokens") > 0)
     docs = docs.select("text_uuid", "doc_split", "tokens", F.transform("tokens", lambda t: X.token_for_match(t)).alias("token_keys"))
@@ -92,21 +103,21 @@ def sentence_pairs(canonical: DataFrame, markers: DataFrame, strict_empty: bool
     payload = F.struct("first_word_obj_in_text", "sentence_obj_in_text", "sentence_row_id", "sentence_uuid", "line_number", "translation", "target_sentence_clean", "first_word_transcription", "first_word_transcription_clean", "marker")
     order = F.struct(F.col("first_word_obj_in_text").isNull(), "first_word_obj_in_text", F.col("sentence_obj_in_text").isNull(), "sentence_obj_in_text", "sentence_row_id")
     grouped = rows.groupBy("text_uuid").agg(F.array_sort(F.collect_list(F.struct(order.alias("o"), payload.alias("p")))).alias("m"))
-    joined = docs.join(grouped, "text_uuid").withColumn("n", F.size("tokens"))
-    places = F.transform("m", lambda m: X.word_index(m["p"]["first_word_obj_in_text"], F.col("n")))
+    joined = docs.join(grouped, "text_uuid")
+    places = F.transform("m", lambda m: X.word_index(m["p"]["first_word_obj_in_text"], F.size("tokens")))
     found = joined.withColumn("found", _resolve(strict_empty)("token_keys", F.transform("m", lambda m: m["p"]["marker"]), places))
-    flat = found.select("text_uuid", "doc_split", "tokens", "token_keys", "n", F.posexplode(F.arrays_zip("m", "found")).alias("k", "x")).select("text_uuid", "doc_split", "tokens", "token_keys", "n", "k", "x.m.p.*", F.col("x.found.start").alias("raw"), F.col("x.found.method").alias("boundary_method"))
-    by_doc = Window.partitionBy("text_uuid").orderBy("k")
-    flat = flat.withColumn("start", F.max(F.least(F.greatest("raw", F.lit(0)), F.col("n") - 1)).over(by_doc.rowsBetween(Window.unboundedPreceding, 0)))
-    flat = flat.withColumn("next", F.coalesce(F.lead("start").over(by_doc), F.col("n")))
-    flat = flat.withColumn("end", F.when(F.col("next") > F.col("start"), F.col("next")).otherwise(F.least(F.col("n"), F.col("start") + 1)))
-    flat = flat.withColumn("source_sentence_raw", X.join_slice("tokens", F.col("start"), F.col("end"))).withColumn("source_sentence_clean", X.normalize_transliteration("source_sentence_raw"))
-    first = F.get("token_keys", F.col("start"))
-    match = (F.col("marker") != "") & (F.startswith(first, F.col("marker")) | F.startswith(F.col("marker"), first))
+
+    def sentence(x: Column) -> Column:
+        f = x["found"]
+        return F.struct(x["m"]["p"].alias("p"), f.alias("f"), X.join_slice("tokens", f["start"], f["end"]).alias("source"), F.get("token_keys", f["start"]).alias("first"))
+
+    flat = found.select("text_uuid", "doc_split", F.explode(F.transform(F.arrays_zip("m", "found"), sentence)).alias("x"))
+    flat = flat.select("text_uuid", "doc_split", "x.p.*", "x.f.*", "x.first", F.col("x.source").alias("source_sentence_raw"), X.normalize_transliteration("x.source").alias("source_sentence_clean"))
+    match = (F.col("marker") != "") & (F.startswith("first", "marker") | F.startswith("marker", "first"))
     return flat.filter("source_sentence_clean <> ''").select(
         "sentence_row_id", "text_uuid", "sentence_uuid", "sentence_obj_in_text", "line_number", "source_sentence_raw", "source_sentence_clean",
         F.col("translation").alias("target_sentence"), "target_sentence_clean", (F.col("start") + 1).alias("source_start_word_idx"), F.col("end").alias("source_end_word_idx_exclusive"),
-        "boundary_method", (F.col("raw") + 1).alias("source_start_word_idx_raw"), (F.col("start") != F.col("raw")).cast("int").alias("source_start_idx_repaired"),
+        F.col("method").alias("boundary_method"), (F.col("raw") + 1).alias("source_start_word_idx_raw"), (F.col("start") != F.col("raw")).cast("int").alias("source_start_idx_repaired"),
         "first_word_transcription", "first_word_transcription_clean", match.cast("int").alias("first_word_match"), F.col("doc_split").alias("split"),
         F.lit("gold_sentence_pair_from_markers").alias("provenance"), F.lit(1.0).alias("trust_weight"),
     )

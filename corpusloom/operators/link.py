@@ -37,21 +37,23 @@ def ref_lookup(published: DataFrame, least: int = 4) -> DataFrame:
 def page_matches(pages: DataFrame, published: DataFrame, akkadian_only: bool = True) -> DataFrame:
     """ALN-09: a row for each page, record and tier (and id, for the CDLI tiers).
 
-    Keys are extracted once for each page and exploded, one equi-join finds CDLI ids and another references; the page's
-    text joins again only for what matched. Which side is broadcast is left to the planner, by size.
+    Keys are extracted once for each page and exploded without its text; one equi-join finds CDLI ids and another
+    references; the text joins again for the pages that matched. What is broadcast is left to the planner, by size.
     """
-    pages = only_akkadian(pages) if akkadian_only else pages
-    keyed = pages.select("pdf_name", "page", "has_akkadian", "page_text", X.cdli_ids("page_text").alias("page_text_cdli"), X.cdli_ids("pdf_name").alias("pdf_name_cdli"), X.publication_refs("page_text").alias("page_text_ref"), X.publication_refs("pdf_name").alias("pdf_name_ref"))
+    pages = (only_akkadian(pages) if akkadian_only else pages).withColumn("digest", F.xxhash64("page_text"))
+    keyed = pages.select("pdf_name", "page", "has_akkadian", "digest", X.cdli_ids("page_text").alias("page_text_cdli"), X.cdli_ids("pdf_name").alias("pdf_name_cdli"), X.publication_refs("page_text").alias("page_text_ref"), X.publication_refs("pdf_name").alias("pdf_name_ref"))
 
     def tier(kind: str) -> DataFrame:
         tagged = lambda c: F.transform(c, lambda k: F.struct(k.alias("key"), F.lit(c).alias("match_source")))
         named = [tagged(c) for c, _ in TIERS if c.endswith(kind)]
-        return keyed.select("pdf_name", "page", "has_akkadian", "page_text", F.explode(F.concat(*named)).alias("k")).select("pdf_name", "page", "has_akkadian", "page_text", "k.*")
+        return keyed.select("pdf_name", "page", "has_akkadian", "digest", F.explode(F.concat(*named)).alias("k")).select("pdf_name", "page", "has_akkadian", "digest", "k.*")
 
     found = tier("_cdli").join(cdli_lookup(published), "key").withColumn("matched_cdli", F.col("key")).unionByName(tier("_ref").join(ref_lookup(published), "key").withColumn("matched_cdli", F.lit("")))
     confidence = reduce(lambda c, t: c.when(F.col("match_source") == t[0], t[1]), TIERS[1:], F.when(F.col("match_source") == TIERS[0][0], TIERS[0][1]))
-    one = first_by(found.withColumn("match_confidence", confidence), ["pdf_name", "page", "oare_id", "matched_cdli", "match_source"], F.col("key"), F.col("label"))
-    return one.select("pdf_name", "page", "has_akkadian", "matched_cdli", "match_source", "match_confidence", *RECORD, X.snippet("page_text", "key").alias("page_text_snippet"), X.collapse_space("page_text").alias("page_text"))
+    one = first_by(found.withColumn("match_confidence", confidence), ["pdf_name", "page", "oare_id", "matched_cdli", "match_source"], F.col("key"), F.col("label"), F.col("digest"))
+    texts = pages.select(*[F.col(c).alias(f"of_{c}") for c in ("pdf_name", "page", "digest")], "page_text").dropDuplicates(["of_pdf_name", "of_page", "of_digest"])
+    on = [one[c].eqNullSafe(texts[f"of_{c}"]) for c in ("pdf_name", "page", "digest")]
+    return one.join(texts, on).select("pdf_name", "page", "has_akkadian", "matched_cdli", "match_source", "match_confidence", *RECORD, X.snippet("page_text", "key").alias("page_text_snippet"), X.collapse_space("page_text").alias("page_text"))
 
 
 def shortlist(matches: DataFrame, least: float = 0.80, task: str | Column = TASK) -> DataFrame:
@@ -64,4 +66,4 @@ def extraction_summary(matches: DataFrame, short: DataFrame) -> DataFrame:
     """SNK-05, AGG-05, AGG-06: one row of counts."""
     a = matches.agg(F.count("*").alias("n_matches"), F.count_if(F.col("match_confidence") >= 0.9).alias("n_high_confidence"))
     b = short.agg(F.count("*").alias("n_shortlist"), F.count_distinct("oare_id").alias("n_tablets"), F.count_distinct("pdf_name").alias("n_pdfs"))
-    return a.join(b)  # one row each
+    return a.select("*", b.select(F.struct("*")).scalar().alias("b")).select("n_matches", "n_high_confidence", "b.*")

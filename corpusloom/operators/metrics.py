@@ -175,5 +175,5 @@ def corpus_bleu(pairs: DataFrame) -> DataFrame:
 
 def corpus_score(pairs: DataFrame) -> DataFrame:
     """SIM-09: one row: bleu, chrf and their geometric mean."""
-    both = corpus_bleu(pairs).join(corpus_chrf(pairs))  # one row each
+    both = corpus_bleu(pairs).select("bleu", corpus_chrf(pairs).scalar().alias("chrf"))
     return both.select("bleu", "chrf", X.geometric_mean("bleu", "chrf").alias("score"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..sources.tables import scratch
 
 
 def keep_columns(df: DataFrame, wanted: list[str]) -> DataFrame:
@@ -35,13 +36,18 @@ def require_columns(df: DataFrame, wanted: list[str]) -> DataFrame:
 def row_ids(df: DataFrame, name: str, *order: Column | str) -> DataFrame:
     """PRJ-04: 0-based positions in an explicit total order.
 
-    Partitions are sorted by range and numbered from counts of the ranges before them, so no task sees all rows.
+    Ranges of the order are sorted, written to the shared folder with each row's place in its range, and read back with
+    the number of rows in the ranges before: no task sees all rows, and a lost executor cannot move a row to another range.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
-    inside = ranged.withColumn("__nth", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
-    sizes = ranged.groupBy("__part").agg(F.count("*").alias("__n"))
-    before = sizes.withColumn("__before", F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).drop("__n")  # a row for each partition
-    return inside.join(F.broadcast(before), "__part").withColumn(name, F.col("__before") + F.col("__nth") - 1).drop("__part", "__nth", "__before")
+    spark = df.sparkSession
+    path = scratch(spark, "ranges")
+    place = F.monotonically_increasing_id()  # the partition above bit 33, the place in it below
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__place", place)
+    ranged.write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("__range", F.shiftright("__place", 33)).withColumn("__place", F.col("__place") % F.lit(1 << 33))
+    sizes = rows.groupBy("__range").agg(F.count("*").alias("__n"))
+    before = sizes.select("__range", (F.sum("__n").over(Window.orderBy("__range")) - F.col("__n")).alias("__before"))  # a row for each range
+    return rows.join(F.broadcast(before), "__range").withColumn(name, F.col("__before") + F.col("__place")).drop("__range", "__place", "__before")
 
 
 def input_key(pdf: Column | str = "pdf_name", page: Column | str = "page", oare: Column | str = "oare_id") -> Column:
@@ -81,9 +87,9 @@ def prefix_lookup(left: DataFrame, right: DataFrame, prefix: str, full: str, *or
     An equi-join for each length that a prefix has, on that many first characters: no nested loop. Rows of ``left``
     without a match stay, with nulls; a null or blank prefix matches nothing.
     """
-    sizes = left.select(F.length(prefix).alias("__size")).filter("__size > 0").distinct()
-    keyed = right.join(F.broadcast(sizes), F.length(F.col(full)) >= F.col("__size"))  # as many rows as prefixes have lengths
-    heads = keyed.withColumn("__head", F.substring(F.col(full), F.lit(1), F.col("__size")))
+    sizes = left.filter(F.length(prefix) > 0).agg(F.collect_set(F.length(prefix))).scalar()  # as many as prefixes have lengths
+    fitting = F.filter(F.col("__sizes"), lambda n: n <= F.length(F.col(full)))
+    heads = right.withColumn("__sizes", sizes).withColumn("__size", F.explode(fitting)).drop("__sizes").withColumn("__head", F.substring(F.col(full), F.lit(1), F.col("__size")))
     best = first_by(heads, ["__head"], *order)
     return left.join(best, left[prefix] == best["__head"], "left").drop("__head", "__size")
 

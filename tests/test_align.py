@@ -44,6 +44,13 @@ def test_starts_are_in_the_document(tokens, marks):
     assert len(got) == len(marks) and all(0 <= s < n for s, _ in got)
 
 
+@given(st.lists(st.integers(-5, 30), max_size=8), st.integers(1, 20))
+def test_slices_never_fall_nor_are_empty(starts, n):
+    got = align.slices(starts, n)
+    assert len(got) == len(starts) and all(0 <= a < b <= n for a, b in got) and all(x[0] <= y[0] for x, y in zip(got, got[1:]))
+    assert [a for a, _ in align.slices(sorted(s for s in starts if 0 <= s < n), n)] == sorted(s for s in starts if 0 <= s < n)
+
+
 def test_verdicts():
     source, target = "a b c d e f", "one two three four"
     pairs = [("a b", "one"), ("", "x"), ("z", "one"), ("a b", "one"), ("b a", "two"), ("a", "two"), ("c d", "two"), ("d c", "three"), ("c d e", "three")]
