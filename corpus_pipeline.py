@@ -6,7 +6,11 @@
 4. substring dedup: repeated 50-word windows leave the later document.
 5. best-fit packing: the texts' ids in sequences of 4096.
 
-Stages 1 to 4 return the columns of ``documents``, with ``n_chars`` as the new text has it.
+Stages 1 to 4 return the columns of ``documents``, with ``n_chars`` as the new text has it; other columns are dropped,
+whatever their names. A null text counts as empty: it is scored as one, comes out of stage 2 empty, and in stage 3 all
+empty texts are one group, of which one row stays. Rows that repeat a doc_id share its fate in stage 3 and are packed
+each on its own. Rows with a null doc_id lose no lines or passages; in a group they go unless all of it has null ids.
+Empty tables pass through as empty tables.
 """
 
 from __future__ import annotations

@@ -14,14 +14,13 @@ with a smaller doc_id. Work on all windows would shuffle a row a word, so window
    repeated: phrase hash and window key, 128 bits, are equal. Only spans of repeated windows leave this step.
 4. Documents drop the words that the spans cover.
 
-A phrase in very many documents is split by window key, so that the windows remembered for it are bounded: no more than
-``HOT_PHRASES`` phrases can have that share of all occurrences, so the list of them is bounded as well.
+Phrases in more documents than a bound are *hot*: their windows become rows, the first document of each window is found
+with map-side combining, and a join that adaptive execution can split hands it back, so a passage that a third of all
+documents share is no single task's work. No more than ``HOT_PHRASES`` phrases can be hot, so their list is bounded too.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -35,7 +34,7 @@ from .common import as_docs, materialise, rows_of, spread
 WINDOW, PHRASE = 50, 10
 SPAN = WINDOW - PHRASE + 1  # phrases in a window
 FILTER_BITS = 1 << 27
-HOT_PHRASES, HOT_ROWS = 1_000_000, 10_000
+HOT_PHRASES, HOT_ROWS = 1_000_000, 2_000
 #: Words of a shard of documents, for which one automaton is compiled.
 SHARD_WORDS = 400_000
 
@@ -43,7 +42,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 PHRASES = pa.schema([("phrase", pa.int64()), ("doc_id", pa.int64())])
-FOUND = pa.schema([("phrase", pa.int64()), ("part", pa.int32()), ("doc_id", pa.int64()), ("digest", pa.int64()), ("at", pa.int32()), ("keys", pa.binary())])
+FOUND = pa.schema([("phrase", pa.int64()), ("hot", pa.bool_()), ("doc_id", pa.int64()), ("digest", pa.int64()), ("at", pa.int32()), ("keys", pa.binary())])
+WINDOWS = pa.schema([("phrase", pa.int64()), ("key", pa.int64()), ("doc_id", pa.int64()), ("digest", pa.int64()), ("at", pa.int32())])
 SPANS = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
 
 
@@ -168,44 +168,30 @@ class Shard:
         return machine, numbers
 
     def occurrences(self):
-        """(document, phrase, first window, keys of it and the next ones) for every occurrence that is the phrase of some windows."""
+        """(document, phrase, first window, keys of it and the next ones) for every run of windows whose phrase the automaton
+        has found in them."""
         if not self.docs:
             return
         machine, numbers = self.automaton()
         for key, words, hashes, grams, least, hit in self.docs:
-            ends = [end for end, _ in machine.iter(tuple([numbers.get(w, 0) for w in words]))]
-            at = np.zeros(len(grams), bool)
-            at[np.array(ends, np.int64) - PHRASE + 1] = True
+            found = np.zeros(len(grams), bool)
+            found[[end - PHRASE + 1 for end, _ in machine.iter(tuple([numbers.get(w, 0) for w in words]))]] = True
             windows = _grams(hashes, WINDOW)
-            # runs of windows with the same phrase; the automaton has found that phrase in each of them
-            starts = np.flatnonzero(np.concatenate(([True], (least[1:] != least[:-1])))) if len(least) else []
-            bounds = [*starts.tolist(), len(least)] if len(least) else []
-            located = np.concatenate(([0], np.cumsum(at)))
-            for a, b in zip(bounds, bounds[1:]):
-                if hit[a] and located[min(b - 1 + SPAN, len(grams))] > located[a]:
+            cuts = [0, *(np.flatnonzero(least[1:] != least[:-1]) + 1).tolist(), len(least)]  # runs of windows with one phrase
+            for a, b in zip(cuts, cuts[1:]):
+                if hit[a] and (found[a : b + SPAN - 1] & (grams[a : b + SPAN - 1] == least[a])).any():
                     for c in range(a, b, WINDOW):
                         yield key, int(least[a]), c, windows[c : min(b, c + WINDOW)]
 
 
-def _locate(batches, bloom: np.ndarray, hot: tuple[np.ndarray, np.ndarray]):
-    hot_phrases, hot_parts = hot
-
+def _locate(batches, bloom: np.ndarray, hot_phrases: np.ndarray):
     def flush(shard):
         rows = list(shard.occurrences())
         for at in range(0, len(rows), 50_000):
-            phrase, part, doc, digest, start, keys = [], [], [], [], [], []
-            for (i, d), p, c, k in rows[at : at + 50_000]:
-                signed = p - (1 << 64) if p >> 63 else p
-                n = 1
-                if len(hot_phrases):
-                    h = int(np.searchsorted(hot_phrases, signed))
-                    n = int(hot_parts[h]) if h < len(hot_phrases) and hot_phrases[h] == signed else 1
-                if n == 1:
-                    phrase.append(signed), part.append(0), doc.append(i), digest.append(d), start.append(c), keys.append(k.tobytes())
-                else:  # each window on its own, where its key belongs
-                    for o, w in enumerate(k):
-                        phrase.append(signed), part.append(int(w) % n), doc.append(i), digest.append(d), start.append(c + o), keys.append(w.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((phrase, part, doc, digest, start, keys), FOUND)], schema=FOUND)
+            docs, phrases, starts, keys = zip(*rows[at : at + 50_000])
+            signed = np.array(phrases, np.uint64).view(np.int64)
+            columns = (signed, np.isin(signed, hot_phrases), [d[0] for d in docs], [d[1] for d in docs], starts, [k.tobytes() for k in keys])
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, FOUND)], schema=FOUND)
 
     shard = Shard(bloom)
     for ids, texts in rows_of(batches, "doc_id", "text"):
@@ -220,13 +206,13 @@ def _locate(batches, bloom: np.ndarray, hot: tuple[np.ndarray, np.ndarray]):
 
 
 def _confirm(batches):
-    """Rows sorted by (phrase, part, doc_id): a window key that an earlier document of the phrase had is repeated."""
+    """Rows sorted by (phrase, doc_id): a window key that an earlier document of the phrase had is repeated."""
     group, seen = None, {}
-    for rows in rows_of(batches, "phrase", "part", "doc_id", "digest", "at", "keys"):
+    for rows in rows_of(batches, "phrase", "doc_id", "digest", "at", "keys"):
         out: list[tuple[int, int, int, int]] = []
-        for phrase, part, i, digest, at, raw in zip(*rows):
-            if (phrase, part) != group:
-                group, seen = (phrase, part), {}
+        for phrase, i, digest, at, raw in zip(*rows):
+            if phrase != group:
+                group, seen = phrase, {}
             run = -1
             keys = np.frombuffer(raw, np.uint64).tolist()
             for o, k in enumerate(keys):
@@ -242,6 +228,22 @@ def _confirm(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), SPANS)], schema=SPANS)
 
 
+def _windows(batches):
+    """A row for each window of hot phrases."""
+    for phrases, ids, digests, starts, keys in rows_of(batches, "phrase", "doc_id", "digest", "at", "keys"):
+        sizes = [len(k) // 8 for k in keys]
+        columns = [np.repeat(np.array(c, np.int64), sizes) for c in (phrases, ids, digests, starts)]
+        inside = np.arange(sum(sizes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((columns[0], np.frombuffer(b"".join(keys), np.int64), columns[1], columns[2], columns[3] + inside), WINDOWS)], schema=WINDOWS)
+
+
+def _hot_spans(found: DataFrame) -> DataFrame:
+    windows = found.mapInArrow(_windows, "phrase long, key long, doc_id long, digest long, at int")
+    first = windows.groupBy("phrase", "key").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).filter("first_doc < last_doc")
+    again = windows.join(first.hint("merge"), ["phrase", "key"]).filter("doc_id > first_doc")
+    return again.select("doc_id", "digest", F.col("at").alias("first"), (F.col("at") + WINDOW).alias("last"))
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, digest (of the text), first, last: spans of words (from 0, last not included) that windows of earlier documents cover; they may overlap."""
     spark = docs.sparkSession
@@ -251,11 +253,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     recurring = materialise(counted, "phrases")
     total = recurring.agg(F.sum("n")).first()[0] or 0
     most = max(HOT_ROWS, -(-total // HOT_PHRASES))
-    hot = recurring.filter(F.col("n") > most).selectExpr("phrase", f"cast(ceil(n / {most}) as int) AS parts").orderBy("phrase").toArrow()  # HOT_PHRASES rows at most
-    shared = spark.sparkContext.broadcast((_filter_of(recurring), (hot.column("phrase").to_numpy(), hot.column("parts").to_numpy())))
-    found = rows.mapInArrow(lambda b: _locate(b, *shared.value), "phrase long, part int, doc_id long, digest long, at int, keys binary")
-    met = spread(found, "phrase", "part").sortWithinPartitions("phrase", "part", "doc_id", "at")
-    return met.mapInArrow(_confirm, "doc_id long, digest long, first int, last int")
+    hot = recurring.filter(F.col("n") > most).select("phrase").toArrow().column("phrase").to_numpy()  # HOT_PHRASES at most
+    shared = spark.sparkContext.broadcast((_filter_of(recurring), hot))
+    found = rows.mapInArrow(lambda b: _locate(b, *shared.value), "phrase long, hot boolean, doc_id long, digest long, at int, keys binary")
+    found = materialise(found, "occurrences") if len(hot) else found
+    met = spread(found.filter("NOT hot").drop("hot"), "phrase").sortWithinPartitions("phrase", "doc_id", "at")
+    spans = met.mapInArrow(_confirm, "doc_id long, digest long, first int, last int")
+    return spans.unionByName(_hot_spans(found.filter("hot").drop("hot"))) if len(hot) else spans
 
 
 def _kept_words(text: bytes, spans) -> tuple[int, int, bytes]:

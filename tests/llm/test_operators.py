@@ -390,7 +390,7 @@ def test_substrings(rows, docs):
     assert out.columns == [*docs.columns, "n_words", "n_removed"]
 
 
-def test_hot_phrases_are_split(rows, docs, monkeypatch):
+def test_hot_phrases(rows, docs, monkeypatch):
     monkeypatch.setattr(substrings, "HOT_ROWS", 2)
     monkeypatch.setattr(substrings, "HOT_PHRASES", 10**9)
     monkeypatch.setattr(substrings, "SHARD_WORDS", 500)
