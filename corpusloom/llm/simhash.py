@@ -30,7 +30,10 @@ SHINGLE = 4
 CHUNK = 4096
 
 #: (threshold, segments): a segment of 2^r - 1 bits holds a Hamming code, one written as 0 is a single bit. 23 + 23 + 18 bits.
-BLOCKS: tuple[tuple[int, tuple[int, ...]], ...] = ((1, (15,) + (0,) * 8), (1, (15,) + (0,) * 8), (0, (0,) * 18))
+Blocks = tuple[tuple[int, tuple[int, ...]], ...]
+BLOCKS: Blocks = ((1, (15,) + (0,) * 8), (1, (15,) + (0,) * 8), (0, (0,) * 18))
+#: 31 + 33 bits: six times the replicas, and a seventieth of the comparisons; for more than some 10^9 distinct fingerprints.
+WIDE_BLOCKS: Blocks = ((1, (31,)), (2, (31, 0, 0)))
 
 PRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 MEETINGS = pa.schema([("anchor", pa.int64()), ("visitor", pa.int8()), ("fp", pa.int64()), ("rep", pa.int64())])
@@ -84,21 +87,28 @@ def _anchors_of_segment(x: np.ndarray, bits: int, excess: int) -> list[tuple[int
     s = _hamming_syndrome(x, bits)
     home = np.where(s > 0, x ^ (one << (np.maximum(s, one) - one)), x)
     found = [(0, rows, home)]
-    if excess > 1:
-        raise ValueError("blocks with Hamming segments take a threshold of 1 at most")
+    if excess > 2:
+        raise ValueError("a block's threshold is 2 at most")
+    flip = lambda *places: np.bitwise_or.reduce([one << (np.asarray(p, np.uint64) - one) for p in places])
     if excess:  # code words at distance 2 = R + 1: flip positions i < j with i ^ j = s; a code word has none, as its next ones are 3 away
         for i in range(1, bits + 1):
             j = s ^ np.uint64(i)
             ok = np.flatnonzero((s > 0) & (j > np.uint64(i)) & (j <= np.uint64(bits)))
-            found.append((1, ok, x[ok] ^ (one << np.uint64(i - 1)) ^ (one << (j[ok] - one))))
+            found.append((1, ok, x[ok] ^ (flip(i) | flip(j[ok]))))
+    if excess > 1:  # and at distance 3 = R + 2: i < j < k with i ^ j ^ k = s
+        for i in range(1, bits + 1):
+            for j in range(i + 1, bits + 1):
+                k = s ^ np.uint64(i ^ j)
+                ok = np.flatnonzero((k > np.uint64(j)) & (k <= np.uint64(bits)))
+                found.append((2, ok, x[ok] ^ (flip(i) | flip(j) | flip(k[ok]))))
     return found
 
 
-def meetings(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def meetings(fps: np.ndarray, blocks: Blocks = BLOCKS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Anchor keys, visitor flags (0: this is the fingerprint's home) and row numbers: where each fingerprint goes."""
     keys, visits, rows = [], [], []
     low = 0
-    for b, (t, segments) in enumerate(BLOCKS):
+    for b, (t, segments) in enumerate(blocks):
         part = [(0, np.arange(len(fps)), np.zeros(len(fps), np.uint64))]  # (excess so far, rows, anchor bits)
         at = 0
         for seg in segments:
@@ -128,11 +138,11 @@ def meetings(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(keys).view(np.int64), np.concatenate(visits), np.concatenate(rows)
 
 
-def _meet(batches):
+def _meet(batches, blocks: Blocks):
     for b in batches:
         fps, reps = b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()
         for at in range(0, len(fps), 20_000):
-            key, visit, row = meetings(fps[at : at + 20_000])
+            key, visit, row = meetings(fps[at : at + 20_000], blocks)
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(visit), pa.array(fps[at:][row].view(np.int64)), pa.array(reps[at:][row])], schema=MEETINGS)
 
 
@@ -196,9 +206,9 @@ def _compare_sorted(batches):
         kept, mark = (hk[last], hf[last], hr[last]), (key[-1], chunk[-1])
 
 
-def near_links(prints: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def near_links(prints: DataFrame, chunk: int = CHUNK, blocks: Blocks = BLOCKS) -> DataFrame:
     """a, b: links between ``rep`` numbers of ``prints(fp long, rep long)``, distinct by fp, that join all fingerprints within THRESHOLD bits."""
-    met = prints.select("fp", "rep").mapInArrow(_meet, "anchor long, visitor byte, fp long, rep long")
+    met = prints.select("fp", "rep").mapInArrow(lambda b: _meet(b, blocks), "anchor long, visitor byte, fp long, rep long")
     homes = met.filter("visitor = 0").groupBy("anchor").agg(F.count("*").alias("homes")).filter(F.col("homes") > chunk)
     hot = materialise(homes.selectExpr("anchor AS hot_anchor", f"cast(ceil(homes / {chunk}) as int) AS chunks"), "hot")
     if hot.isEmpty():
@@ -209,7 +219,7 @@ def near_links(prints: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return spread(dealt, "anchor", "chunk").sortWithinPartitions("anchor", "chunk", "visitor").mapInArrow(_compare_sorted, "a long, b long")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blocks: Blocks = BLOCKS) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id (the smallest doc_id reachable over links) for every row.
 
     Null and empty texts have fingerprint zero and link like any other. Copies and repeated rows share their fingerprint
@@ -218,7 +228,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     rows = materialise(simhash(docs, id_col, text_col), "prints")
     prints = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("rep", F.monotonically_increasing_id()), "distinct")
-    links = connected_components(near_links(prints))
+    links = connected_components(near_links(prints, blocks=blocks))
     grouped = prints.join(links, prints.rep == links.node, "left").select("fp", "least", F.coalesce("root", "rep").alias("root"))
     names = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     named = grouped.join(names, "root").select(F.col("fp").alias("of_fp"), "component_id")

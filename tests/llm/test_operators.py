@@ -129,8 +129,8 @@ def test_near_groups(rows, docs):
     assert listed(simhash.near_groups(docs), "doc_id", "fingerprint", "component_id") == sorted((i, f"{f:016x}", c) for i, f, c in brute.near_groups(rows))
 
 
-@pytest.mark.parametrize("chunk", [4096, 5])
-def test_links_join_all_within_the_threshold(spark, chunk):
+@pytest.mark.parametrize(("chunk", "blocks"), [(4096, simhash.BLOCKS), (5, simhash.BLOCKS), (4096, simhash.WIDE_BLOCKS)])
+def test_links_join_all_within_the_threshold(spark, chunk, blocks):
     rng = random.Random(chunk)
     fps = set()
     for _ in range(12):
@@ -143,19 +143,20 @@ def test_links_join_all_within_the_threshold(spark, chunk):
             fps.add(near)
     fps = sorted(fps)
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
-    links = simhash.near_links(spark.createDataFrame(list(zip(signed, range(len(fps)))), "fp long, rep long"), chunk)
+    links = simhash.near_links(spark.createDataFrame(list(zip(signed, range(len(fps)))), "fp long, rep long"), chunk, blocks)
     roots = {r.node: r.root for r in connected_components(links).collect()}
     assert [roots.get(k, k) for k in range(len(fps))] == brute.components(list(range(len(fps))), fps)
 
 
-def test_anchors_cover():
+@pytest.mark.parametrize("blocks", [simhash.BLOCKS, simhash.WIDE_BLOCKS])
+def test_anchors_cover(blocks):
     """Two fingerprints within the threshold meet: the home of one is among the anchors of the other."""
     rng = random.Random(3)
     for _ in range(300):
         a = b = rng.getrandbits(64)
         for bit in rng.sample(range(64), rng.randint(0, simhash.THRESHOLD)):
             b ^= 1 << bit
-        keys, visit, row = simhash.meetings(np.array([a, b], np.uint64))
+        keys, visit, row = simhash.meetings(np.array([a, b], np.uint64), blocks)
         assert set(keys[(row == 0) & (visit == 0)]) & set(keys[row == 1])
 
 
