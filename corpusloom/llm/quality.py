@@ -124,7 +124,7 @@ def thresholds(stats: DataFrame, min_group: int = 50, spread_by: int = 3) -> Dat
     own, by_lang, whole = wide(own, ["lang", "source"], "o"), wide(by_lang, ["lang"], "l"), wide(whole, [], "a")
     out = out.join(own, F.col("lang").eqNullSafe(F.col("o_lang")) & F.col("source").eqNullSafe(F.col("o_source")), "left")
     out = out.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang")), "left")
-    out = out.join(F.broadcast(whole), F.lit(True), "left")  # one row
+    out = out.withColumn("a", whole.select(F.struct("*")).scalar()).select("*", "a.*")  # one row, as a scalar subquery
     cols = []
     for m, (least, two_sided) in FENCES.items():
         q1, q3 = (F.when(F.col(f"o_{m}_n") >= min_group, F.col(f"o_{m}_{c}")).when(F.col(f"l_{m}_n") >= min_group, F.col(f"l_{m}_{c}")).otherwise(F.col(f"a_{m}_{c}")) for c in ("q1", "q3"))
