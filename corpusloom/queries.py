@@ -488,16 +488,26 @@ def alignment_replies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     return docs, first, second
 
 
-_VERDICTS_SQL = f"""
-WITH RECURSIVE t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k, {s_space('text')} AS t FROM conversations),
-d AS (SELECT conv_id, {s_space("string_agg(coalesce(text, ''), ' ' ORDER BY turn)")} AS doc FROM conversations GROUP BY conv_id),
-f AS (SELECT conv_id, CAST(0 AS BIGINT) AS k, CAST(-1 AS BIGINT) AS pos, CAST([] AS VARCHAR[]) AS seen, CAST([] AS VARCHAR[]) AS last, '' AS reason FROM d
+def _fold_sql(n: int, turns: str, known: str) -> str:
+    """CTEs t<n> and f<n>: the pairs of one pass, a turn with itself, and the fold over their verdicts."""
+    return f"""t{n} AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k, {s_space('text')} AS t FROM conversations WHERE {turns}),
+f{n} AS (SELECT conv_id, CAST(0 AS BIGINT) AS k, CAST(-1 AS BIGINT) AS pos, CAST({known} AS VARCHAR[]) AS seen, CAST([] AS VARCHAR[]) AS last, '' AS reason FROM d
 UNION ALL
 SELECT conv_id, k, CASE WHEN reason = 'accepted' THEN pos + hit ELSE pos END, CASE WHEN reason = 'accepted' THEN list_append(seen, t) ELSE seen END, CASE WHEN reason = 'accepted' THEN toks ELSE last END, reason
 FROM (SELECT *, CASE WHEN t = '' THEN 'empty_source_or_target' WHEN NOT contains(doc, t) THEN 'not_exact_substring' WHEN list_contains(seen, t) THEN 'duplicate_pair' WHEN hit = 0 THEN 'order_position_not_found'
   WHEN len(last) > 0 AND len(list_intersect(toks, last)) / len(list_distinct(toks || last)) >= 0.95 THEN 'near_duplicate_overlap' ELSE 'accepted' END AS reason
-  FROM (SELECT f.conv_id, t.k, f.pos, f.seen, f.last, t.t, d.doc, strpos(substr(d.doc, CAST(f.pos + 2 AS BIGINT)), t.t) AS hit, list_distinct({s_words('lower(t.t)')}) AS toks FROM f JOIN t ON t.conv_id = f.conv_id AND t.k = f.k + 1 JOIN d ON d.conv_id = f.conv_id)))
-SELECT CAST(conv_id AS VARCHAR) AS oare_id, CAST(k AS INTEGER) AS pair_index, reason, CAST(CASE WHEN reason = 'accepted' THEN pos ELSE -1 END AS INTEGER) AS source_pos, CAST(CASE WHEN reason = 'accepted' THEN pos ELSE -1 END AS INTEGER) AS target_pos, 'clue' AS source_method, 'inferred' AS target_method, 0.9::DOUBLE AS alignment_confidence FROM f WHERE k > 0"""
+  FROM (SELECT f.conv_id, t.k, f.pos, f.seen, f.last, t.t, d.doc, strpos(substr(d.doc, CAST(f.pos + 2 AS BIGINT)), t.t) AS hit, list_distinct({s_words('lower(t.t)')}) AS toks FROM f{n} f JOIN t{n} t ON t.conv_id = f.conv_id AND t.k = f.k + 1 JOIN d ON d.conv_id = f.conv_id)))"""
+
+
+_DOCS_CTE = f"""d AS (SELECT conv_id, {s_space("string_agg(coalesce(text, ''), ' ' ORDER BY turn)")} AS doc FROM conversations GROUP BY conv_id)"""
+_VERDICTS_SQL = f"""WITH RECURSIVE {_DOCS_CTE}, {_fold_sql(1, 'true', '[]')}
+SELECT CAST(conv_id AS VARCHAR) AS oare_id, CAST(k AS INTEGER) AS pair_index, reason, CAST(CASE WHEN reason = 'accepted' THEN pos ELSE -1 END AS INTEGER) AS source_pos, CAST(CASE WHEN reason = 'accepted' THEN pos ELSE -1 END AS INTEGER) AS target_pos, 'clue' AS source_method, 'inferred' AS target_method, 0.9::DOUBLE AS alignment_confidence FROM f1 WHERE k > 0"""
+_COUNTED = ", ".join(f"CAST(coalesce(sum(CASE WHEN p = 1 AND reason = '{r}' THEN 1 ELSE 0 END), 0) AS INTEGER) AS {n}" for r, n in (("accepted", "accepted_first_pass_pairs"), *zip(align.REASONS, ("rejected_empty", "rejected_not_substring", "rejected_duplicate", "rejected_order", "rejected_overlap"))))
+_STATUS_SQL = f"""WITH RECURSIVE {_DOCS_CTE}, {_fold_sql(1, 'true', '[]')}, {_fold_sql(2, 'turn <= 1', "coalesce((SELECT arg_max(seen, k) FROM f1 WHERE f1.conv_id = d.conv_id), [])")},
+v AS (SELECT conv_id, 1 AS p, reason FROM f1 WHERE k > 0 UNION ALL SELECT conv_id, 2, reason FROM f2 WHERE k > 0),
+s AS (SELECT conv_id, {_COUNTED}, CAST(coalesce(sum(CASE WHEN p = 2 AND reason = 'accepted' THEN 1 ELSE 0 END), 0) AS INTEGER) AS second_pass_added_pairs FROM v GROUP BY conv_id)
+SELECT CAST(conv_id AS VARCHAR) AS oare_id, 'completed' AS status, 'rest' AS leftover_source_text, '' AS leftover_target_text, s.* EXCLUDE (conv_id), CAST(accepted_first_pass_pairs + second_pass_added_pairs AS INTEGER) AS produced_pairs, c.n AS expected_clue_rows
+FROM s JOIN (SELECT conv_id, count(*)::INTEGER AS n FROM conversations GROUP BY conv_id) c USING (conv_id)"""
 
 
 @query(_VERDICTS_SQL)
@@ -506,19 +516,28 @@ def aln06_win07_win11_validated_pairs(spark, sf_dir):
     return align.validated_pairs(docs.join(first, "oare_id").withColumn("pairs", J.parse_reply("reply", J.ALIGNMENT_REPLY)["pairs"])).select("oare_id", "pair_index", "reason", "source_pos", "target_pos", "source_method", "target_method", "alignment_confidence")
 
 
-@query()
+@query(_STATUS_SQL)
 def aln08_aln15_agg08_agg09_two_passes(spark, sf_dir):
     docs, first, second = alignment_replies(spark, sf_dir)
     return align.alignment_status(docs, first, align.two_passes(docs, first, second), turn_markers(spark, sf_dir))
 
 
-@query()
-def flt08_jsn03_aligned_pairs(spark, sf_dir):
+_ALIGNED_SQL = f"""WITH RECURSIVE {_DOCS_CTE}, {_fold_sql(1, 'true', '[]')}, {_fold_sql(2, 'turn <= 1', "coalesce((SELECT arg_max(seen, k) FROM f1 WHERE f1.conv_id = d.conv_id), [])")},
+a AS (SELECT f1.conv_id, k, 'first' AS p, t FROM f1 JOIN t1 USING (conv_id, k) WHERE reason = 'accepted' UNION ALL SELECT f2.conv_id, k, 'second', t FROM f2 JOIN t2 USING (conv_id, k) WHERE reason = 'accepted')
+SELECT CAST(conv_id AS VARCHAR) AS oare_id, CAST(k AS INTEGER) AS pair_index, p AS alignment_pass, {s_translit('t', False)} AS source_sentence_clean, {s_transl('t')} AS target_sentence_clean FROM a WHERE {s_translit('t', False)} <> '' AND {s_transl('t')} <> ''"""
+
+
+@query(_ALIGNED_SQL)
+def flt08_aligned_pairs(spark, sf_dir):
     docs, first, second = alignment_replies(spark, sf_dir)
-    out = align.aligned_pairs(align.two_passes(docs, first, second))
-    clues = turn_markers(spark, sf_dir).groupBy(F.col("text_uuid").alias("oare_id")).agg(F.array_sort(F.collect_list(F.struct("sentence_obj_in_text", "first_word_transcription"))).alias("clues"))
-    payload = docs.join(clues, "oare_id").select("oare_id", F.length(J.alignment_payload("oare_id", "transliteration", "translation", "clues", "Align sentences.", ["Copy exactly."])).alias("payload_chars"))
-    return out.join(payload, "oare_id").select("oare_id", "pair_index", "alignment_pass", "source_sentence_clean", "target_sentence_clean", "payload_chars")
+    return align.aligned_pairs(align.two_passes(docs, first, second)).select("oare_id", "pair_index", "alignment_pass", "source_sentence_clean", "target_sentence_clean")
+
+
+@query()
+def jsn03_alignment_payload(spark, sf_dir):
+    docs = train_documents(spark, sf_dir)
+    found = align.clues(turn_markers(spark, sf_dir), ["sentence_obj_in_text"], ["sentence_obj_in_text", "first_word_transcription"]).withColumnRenamed("text_uuid", "oare_id")
+    return docs.join(found, "oare_id").select("oare_id", J.alignment_payload("oare_id", "transliteration", "translation", "clues", "Align sentences.", ["Copy exactly."]).alias("payload"))
 
 
 _CATALOGUE = f"""(SELECT 'oa-' || doc_id AS oare_id, array_to_string(refs, '|') AS label, array_to_string(cdli, '|') AS cdli_id, '' AS aliases, '' AS publication_catalog, '' AS transliteration
