@@ -240,6 +240,7 @@ def _windows(batches):
 def _hot_spans(found: DataFrame) -> DataFrame:
     windows = found.mapInArrow(_windows, "phrase long, key long, doc_id long, digest long, at int")
     first = windows.groupBy("phrase", "key").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).filter("first_doc < last_doc")
+    first = materialise(first, "first")  # so that both sides of the join are plain shuffles, which can be split where a window is hot
     again = windows.join(first.hint("merge"), ["phrase", "key"]).filter("doc_id > first_doc")
     return again.select("doc_id", "digest", F.col("at").alias("first"), (F.col("at") + WINDOW).alias("last"))
 
