@@ -1,49 +1,70 @@
 """Translation metrics from n-gram counts (SIM-01 to SIM-09, AGG-11, AGG-13).
 
-Bags of n-grams are rows, counted for both sides of a pair in one aggregate, so a long text costs rows, not a quadratic
-comparison. ``pairs`` is a frame of ``id``, ``hyp`` and ``ref`` with unique ids.
+What the n-grams are made of, characters or words, is worked out as columns; the bags of both sides of a pair are then
+counted and compared on Arrow batches, so a pair is one row throughout and nothing is shuffled. ``pairs`` is a frame of
+``id``, ``hyp`` and ``ref`` with unique ids.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as X
 
 PUNCTUATION = r"!\"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~"
 
 
-Grams = dict[str, Callable[[Column], Column]]
+#: kind -> (what it is made of: a text or an array of words; n; whether a shorter text is its own only n-gram)
+Grams = dict[str, tuple[Callable[[Column], Column], int, bool]]
+COUNTS = (T.StructField("kind", T.StringType()), T.StructField("hit", T.LongType()), T.StructField("n_hyp", T.LongType()), T.StructField("n_ref", T.LongType()))
 
 
-def bags(candidates: DataFrame, grams: Grams) -> DataFrame:
-    """id, k, kind, gram, n: the n-grams of ``candidates(id, k, text)`` with their counts."""
-    tagged = lambda found, kind: F.transform(found, lambda g: F.struct(F.lit(kind).alias("kind"), g.alias("gram")))
-    rows = candidates.select("id", "k", F.explode(F.concat(*[tagged(f(F.col("text")), k) for k, f in grams.items()])).alias("g"))
-    return rows.select("id", "k", "g.kind", "g.gram").groupBy("id", "k", "kind", "gram").agg(F.count("*").alias("n"))
+def bag(items: str | list[str], n: int, whole: bool) -> Counter:
+    """The n-grams of a text or of a list of words."""
+    if whole and 0 < len(items) < n:
+        return Counter([items])
+    if isinstance(items, str):
+        return Counter([items[i : i + n] for i in range(len(items) - n + 1)])
+    return Counter(zip(*[items[i:] for i in range(n)]))
 
 
-def overlaps(pairs: DataFrame, grams: Grams) -> DataFrame:
-    """id, kind, hit, n_hyp, n_ref: for every kind of n-gram the size of the bags' intersection and of the bags."""
+def shared(a: Counter, b: Counter) -> int:
+    """AGG-11: the size of two bags' intersection."""
+    a, b = (a, b) if len(a) < len(b) else (b, a)
+    return sum([min(c, b[g]) for g, c in a.items() if g in b])
 
-    def tagged(found: Column, kind: str, side: int) -> Column:
-        return F.transform(found, lambda g: F.struct(F.lit(kind).alias("kind"), g.alias("gram"), F.lit(side).alias("side")))
 
-    both = F.concat(*[tagged(f(F.col(c)), k, s) for k, f in grams.items() for c, s in (("hyp", 0), ("ref", 1))])
-    rows = pairs.select("id", F.explode(both).alias("g")).select("id", "g.*")
-    counts = rows.groupBy("id", "kind", "gram").agg(F.count_if(F.col("side") == 0).alias("h"), F.count_if(F.col("side") == 1).alias("r"))
-    per = counts.groupBy("id", "kind").agg(F.sum(F.least("h", "r")).alias("hit"), F.sum("h").alias("n_hyp"), F.sum("r").alias("n_ref"))
-    kinds = F.explode(F.array(*map(F.lit, grams))).alias("kind")
-    return pairs.select("id", kinds).join(per, ["id", "kind"], "left").fillna(0, ["hit", "n_hyp", "n_ref"])
+def parts_of(grams: Grams) -> dict[Callable[[Column], Column], int]:
+    """The different things that n-grams are made of, numbered."""
+    return {f: k for k, f in enumerate(dict.fromkeys(f for f, _, _ in grams.values()))}
 
 
-def _sequences(items: Column, n: int) -> Column:
-    """The runs of n items, joined by a blank; an empty array for fewer."""
-    windows = lambda xs: F.transform(F.sequence(F.lit(1), F.greatest(F.size(xs) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(xs, i, n), " "))
-    return X.let(items, lambda xs: F.when(F.size(xs) < n, F.array().cast("array<string>")).otherwise(windows(xs)))
+def overlaps(pairs: DataFrame, grams: Grams) -> DataFrame:
+    """id, kind, hit, n_hyp, n_ref: for every kind of n-gram the size of the bags' intersection and of the bags."""
+    parts = parts_of(grams)
+    kinds = [(kind, parts[f], n, whole) for kind, (f, n, whole) in grams.items()]
+    rows = pairs.select("id", *[f(F.col(c)).alias(f"{c}{k}") for f, k in parts.items() for c in ("hyp", "ref")])
+
+    def count(batches):
+        for b in batches:
+            cols = [c.to_pylist() for c in b.columns[1:]]
+            out, at = [], []
+            for i in range(b.num_rows):
+                for kind, k, n, whole in kinds:
+                    h, r = bag(cols[2 * k][i], n, whole), bag(cols[2 * k + 1][i], n, whole)
+                    out.append((kind, shared(h, r), h.total(), r.total()))
+                    at.append(i)
+            if out:
+                columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.int64(), pa.int64()))]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), *columns], names=["id", "kind", "hit", "n_hyp", "n_ref"])
+
+    return rows.mapInArrow(count, T.StructType([pairs.schema["id"], *COUNTS]))
 
 
 def _f(p: Column, r: Column, beta: float) -> Column:
@@ -51,11 +72,11 @@ def _f(p: Column, r: Column, beta: float) -> Column:
 
 
 def char_grams(n: int = 6) -> Grams:
-    return {"c": lambda c: F.filter(X.char_ngrams(c, n), lambda g: g != "")}
+    return {"c": (X._text, n, True)}
 
 
 def word_grams(orders: int = 4) -> Grams:
-    return {str(n): (lambda c, n=n: _sequences(X.words(c), n)) for n in range(1, orders + 1)}
+    return {str(n): (X.words, n, False) for n in range(1, orders + 1)}
 
 
 def char_f_of(counts: DataFrame, beta: float = 2.0) -> DataFrame:
@@ -111,15 +132,13 @@ def split_punctuation(c: Column) -> Column:
     return F.flatten(F.transform(X.words(c), parts))
 
 
-def chrf_grams(chars: int = 6, words: int = 2) -> Grams:
-    def of_chars(n: int):
-        def grams(c: Column) -> Column:
-            solid = F.regexp_replace(X._text(c), f"{X.SPACE}+", "")
-            return X.let(solid, lambda v: F.when(F.length(v) < n, F.array().cast("array<string>")).otherwise(X.char_ngrams(v, n)))
+def solid(c: Column) -> Column:
+    """A text without its white space."""
+    return F.regexp_replace(X._text(c), f"{X.SPACE}+", "")
 
-        return grams
 
-    return {f"c{n}": of_chars(n) for n in range(1, chars + 1)} | {f"w{n}": (lambda c, n=n: _sequences(split_punctuation(c), n)) for n in range(1, words + 1)}
+def chrf_grams(chars: int = 6, words: int = 2) -> Grams:
+    return {f"c{n}": (solid, n, False) for n in range(1, chars + 1)} | {f"w{n}": (split_punctuation, n, False) for n in range(1, words + 1)}
 
 
 def _chrf_score(kinds: list[str], beta: float) -> Column:
@@ -160,9 +179,8 @@ def tokenize_13a(c: Column | str) -> Column:
 
 def corpus_bleu(pairs: DataFrame) -> DataFrame:
     """SIM-07: one row: four orders summed over the corpus; the kth order without hits counts as 1 / 2^k of a hit."""
-    rows = pairs.select("id", tokenize_13a("hyp").alias("hyp"), tokenize_13a("ref").alias("ref"))
     kinds = [str(n) for n in range(1, 5)]
-    w = _wide(overlaps(rows, {k: (lambda c, n=int(k): _sequences(c, n)) for k in kinds}), kinds)
+    w = _wide(overlaps(pairs, {k: (tokenize_13a, int(k), False) for k in kinds}), kinds)
     logs, zeros, empty = F.lit(0.0), F.lit(0), F.lit(False)
     for k in kinds:
         hit, total = F.col(f"hit_{k}"), F.col(f"n_hyp_{k}")
