@@ -45,7 +45,7 @@ def parser() -> argparse.ArgumentParser:
     one = sub.add_parser("pairs", help="documents and markers to sentence pairs")
     one.add_argument("--input", required=True)
     one.add_argument("--output", required=True)
-    one.add_argument("--markers", default="Sentences_Oare_FirstWord_LinNum.csv")
+    one.add_argument("--markers", default="sentence_markers.csv")
     one.add_argument("--valid-ratio", type=float, default=0.1)
     one.add_argument("--salt", default="deep_past_split_v1")
     one.add_argument("--strict-empty", action=argparse.BooleanOptionalAction, default=False)

@@ -14,7 +14,7 @@ from ..operators.relational import without_done
 @dataclass(frozen=True)
 class PairOptions:
     valid_ratio: float = 0.1
-    salt: str = "deep_past_split_v1"
+    salt: str = "deep_past_split_v1"  # fixed value: other salts split other documents off
     strict_empty: bool = False
 
 
