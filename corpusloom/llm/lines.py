@@ -1,10 +1,12 @@
 """Line deduplication by pairwise alignment (operator 5).
 
 A line is a run between line feeds with at least one word; lines are known by the XXH64 of their bytes. Overlapping
-documents are found through rare lines: lines that more than one document has, but no more than ``RARE`` of all (a
-share, so that rarity means the same at every size; always at least ``RARE_DOCS`` documents). For each rare line, every
-document that has it is paired with the earliest that does (smallest doc_id): as many pairs as lines at most, and never
-all pairs of a group.
+documents are found through shared lines: every document that has a line is paired with the earliest that does (smallest
+doc_id): as many pairs as lines at most, and never all pairs of a group.
+
+Lines that more than ``RARE`` of all documents have (a share, so that rarity means the same at every size; always more
+than ``RARE_DOCS`` documents) take a join of their own, so that they are no single task's work. With ``rare=None``, as the
+query and the pipeline call it, they pair documents like all others; by default they pair none.
 
 Each pair is aligned by patience diff: the lines that either document has exactly once are matched in order (the
 longest increasing run), and the stretches between matches are treated in the same way; equal lines next to a match
@@ -117,7 +119,7 @@ def _drop_lines(batches, names: list[str]):
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def line_cuts(docs: DataFrame, rare: float = RARE, rare_docs: int = RARE_DOCS, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_cuts(docs: DataFrame, rare: float | None = RARE, rare_docs: int = RARE_DOCS, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, cuts: for each document that loses lines, which of its lines with words (from 0)."""
     rows = as_docs(docs.filter(F.col(id_col).isNotNull()), id_col, text_col)
     lines = materialise(rows.mapInArrow(_hash_lines, "doc_id long, lines array<long>, words array<int>"), "lines")
@@ -125,26 +127,29 @@ def line_cuts(docs: DataFrame, rare: float = RARE, rare_docs: int = RARE_DOCS, m
     if not again.isEmpty():
         lines = lines.join(again, "doc_id", "left_anti")
     has = lines.select("doc_id", F.explode(F.array_distinct("lines")).alias("line"))
-    most = max(rare_docs, int(lines.count() * rare))
+    most = max(rare_docs, int(lines.count() * (RARE if rare is None else rare)))
     counts = has.groupBy("line").agg(F.count("*").alias("df"), F.min("doc_id").alias("first")).filter("df > 1")
     counts = materialise(counts, "counts")
-    common = F.broadcast(counts.filter(F.col("df") > most).select("line"))  # no more than 1 / rare times the lines of an average document
+    common = F.broadcast(counts.filter(F.col("df") > most).select("line", "first"))  # no more than 1 / rare times the lines of an average document
     shared = counts.filter(F.col("df") <= most).select("line", "first")
-    pairs = has.join(common, "line", "left_anti").join(shared, "line").filter("doc_id <> first").select("doc_id", "first").distinct()
+    found = has.join(common, "line", "left_anti").join(shared, "line")
+    if rare is None:
+        found = found.unionByName(has.join(common, "line"))
+    pairs = found.filter("doc_id <> first").select("doc_id", "first").distinct()
     theirs = lines.select(F.col("doc_id").alias("first"), F.col("lines").alias("their_lines"))
     both = pairs.join(theirs, "first").join(lines, "doc_id").select("doc_id", "lines", "words", "their_lines")
     cuts = both.mapInArrow(lambda b: _align(b, min_words), "doc_id long, cuts array<int>").filter("size(cuts) > 0")
     return cuts.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("cuts"))).alias("cuts"))
 
 
-def drop_common_lines(docs: DataFrame, rare: float = RARE, rare_docs: int = RARE_DOCS, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_common_lines(docs: DataFrame, rare: float | None = RARE, rare_docs: int = RARE_DOCS, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of ``docs``, with all its columns, its text without the lines that an earlier document has, and n_lines
     (with words, before) and n_cut. Columns of ``docs`` with those two names are replaced.
 
     Decisions are made on the input, not on what is left of earlier documents. Documents that lose every line stay, with
     what blank lines they had. A null text comes back empty. Rows with a null doc_id, or with one that other rows have
     too, have no place in the order and stay as they are. Lines that occur twice in a document are one line to the
-    search. An empty table gives an empty result.
+    search. An empty table gives an empty result. With ``rare=None`` no line is too common to count.
     """
     docs = docs.drop("n_lines", "n_cut")
     cuts = materialise(line_cuts(docs, rare, rare_docs, min_words, id_col, text_col), "cuts").toDF("__of", "__cuts")

@@ -37,7 +37,7 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = lines.drop_common_lines(load(spark, sf_dir, "documents"))
+    out = lines.drop_common_lines(load(spark, sf_dir, "documents"), rare=None)
     return out.select("doc_id", "n_lines", "n_cut", F.sha2("text", 256).alias("text_sha256"))
 
 

@@ -313,6 +313,16 @@ def test_common_lines_are_not_rare(spark):
     assert sorted({r.n_cut for r in lines.drop_common_lines(df, rare_docs=80).collect()}) == [0, 1]
 
 
+def test_large_groups_lose_their_common_blocks(spark, tmp_path):
+    text = "one two three four five six\nseven eight nine ten eleven\n"
+    copies = [(i, text + "a line that only copies have got") for i in range(70)]
+    others = [(i, f"own line number {i} comes first here\n" + text + f"own line number {i} of this document") for i in range(70, 150)]
+    df = spark.createDataFrame(copies + others, "doc_id long, text string")
+    assert listed(lines.drop_common_lines(df, rare=None), "doc_id", "n_cut") == [(0, 0)] + [(i, 3) for i in range(1, 70)] + [(i, 2) for i in range(70, 150)]
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    assert sum(r.n_cut for r in queries.op5_line_dedup(spark, str(tmp_path)).collect()) == 69 * 3 + 80 * 2
+
+
 # ---- 7 --------------------------------------------------------------------------------------------------------
 
 
