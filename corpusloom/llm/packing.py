@@ -6,8 +6,10 @@ fills whole classes at a time and leaves at most about three classes for each le
 
 The local search then works on underfull bins: it moves a piece from one to another, exchanges one piece for one, or
 two for one, always so that the sum of squared fills grows, which drives the emptier bin towards empty; an empty bin
-is gone. It takes the emptiest bins first and stops when no step is left or after ``STEPS`` of them (the packing is
-whole at every step). Exchanges also act on as many bins of two classes as both have.
+is gone. It takes the emptiest bins first and stops when no exchange is left, or when there are no more bins than all
+lengths together need (the packing is whole at every step). Exchanges also act on as many bins of two classes as both
+have. A pair of classes without an exchange is not looked at again, and the classes that a bin has exchanges with are
+found from arrays of all pieces and pairs of pieces.
 
 Documents take their places by rank: the plan says which ranks of a length go to which sequences, and a document's
 rank within its length is counted in salted groups, so a length that a third of all documents share is no bottleneck.
@@ -15,6 +17,7 @@ rank within its length is counted in salted groups, so a length that a third of
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections import Counter, defaultdict
 
@@ -27,7 +30,6 @@ from .common import as_docs, materialise, out_batch, rows_of
 from .wordbpe import encoder
 
 CAPACITY = 4096
-STEPS = 20_000
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 PLACED = pa.schema([*PIECES, ("sequence_id", pa.int64()), ("offset", pa.int64())])
@@ -101,40 +103,117 @@ def _steps(x: Bin, y: Bin, capacity: int):
     return step
 
 
-def local_search(bins: Counter[Bin], capacity: int = CAPACITY, steps: int = STEPS) -> Counter[Bin]:
-    """Fewer or equally many bins with the same pieces in them."""
+class _Classes:
+    """The classes of underfull bins: how many bins each has, and all their pieces and pairs of pieces in arrays."""
+
+    def __init__(self, capacity: int):
+        self.capacity, self.bins, self.number = capacity, [], {}
+        self.fill, self.count, self.waits = np.zeros(64, np.int64), np.zeros(64, np.int64), np.zeros(64, bool)  # waits: may have an exchange with a fuller class
+        self.parts = [[np.zeros(64, np.int32), np.zeros(64, np.int64), 0] for _ in range(2)]  # values, whose, how many; pieces, then sums of pairs
+
+    def add(self, b: Bin) -> int:
+        k = self.number[b] = len(self.bins)
+        self.bins.append(b)
+        if k == len(self.fill):
+            self.fill, self.count, self.waits = (np.concatenate([x, np.zeros_like(x)]) for x in (self.fill, self.count, self.waits))
+        self.fill[k] = sum(b)
+        for part, values in zip(self.parts, (sorted(set(b)), sorted({p + q for p, q in _pairs(b)}))):
+            end = part[2] + len(values)
+            while end > len(part[0]):
+                part[0], part[1] = np.concatenate([part[0], np.zeros_like(part[0])]), np.concatenate([part[1], np.zeros_like(part[1])])
+            part[0][part[2] : end], part[1][part[2] : end], part[2] = values, k, end
+        return k
+
+    def squeeze(self) -> None:
+        """Forget classes without bins."""
+        rows = [(self.bins[k], self.count[k], self.waits[k]) for k in np.flatnonzero(self.count).tolist()]
+        self.__init__(self.capacity)
+        for b, n, waits in rows:
+            k = self.add(b)
+            self.count[k], self.waits[k] = n, waits
+
+    def partners(self, k: int, fuller: bool) -> np.ndarray:
+        """Classes with bins that are fuller than class k (or as full) and grow by a step with it, or emptier ones that it grows by."""
+        n, b, c = len(self.bins), self.bins[k], self.capacity
+        single, double = np.array(sorted({0, *b})), np.array(sorted({p + q for p, q in _pairs(b)}), np.int64)
+        at, far = np.arange(2 * c + 1), 4 * c
+        found = np.zeros(n, bool)
+        if fuller:  # what the other gives up, and how much more it gets from k at least
+            up = lambda v: np.append(v, far)[np.searchsorted(v, at, "right")] - at
+            one, two = up(single[1:]), up(double)
+            gains = (np.minimum(one, two), one)
+            room = c - self.fill[:n]
+            found |= (room >= one[0]) & (self.fill[:n] >= self.fill[k])
+        else:  # what the other gives, and how much less it gets from k at most
+            down = lambda v: at - np.append(-far, v)[np.searchsorted(v, at, "left")]
+            one = down(single)
+            gains = (np.minimum(one, down(double)), down(single[1:]))
+            room = np.full(n, c - self.fill[k])
+        for (values, whose, m), gain in zip(self.parts, gains):
+            found[whose[:m][gain[values[:m]] <= room[whose[:m]]]] = True
+        found &= (self.fill[:n] >= self.fill[k] if fuller else self.fill[:n] <= self.fill[k]) & (self.count[:n] > 0)
+        found[k] &= self.count[k] > 1
+        return np.flatnonzero(found)
+
+
+def local_search(bins: Counter[Bin], capacity: int = CAPACITY) -> Counter[Bin]:
+    """Fewer or equally many bins with the same pieces in them: as few as can be, or no exchange is left."""
     full = Counter({b: n for b, n in bins.items() if sum(b) == capacity})
-    under = Counter({b: n for b, n in bins.items() if sum(b) < capacity})
-    better = True
-    while better and steps > 0 and sum(under.values()) > 1:
-        better = False
-        by_fill = sorted(under, key=lambda b: (sum(b), b))
-        for k, low in enumerate(by_fill):
-            for high in reversed(by_fill[k:]):
-                steps -= 1
-                if (high != low or under[low] > 1) and (step := _steps(high, low, capacity)):
-                    n = min(under[high], under[low]) if high != low else under[low] // 2
-                    out, into = Counter(step[0]), Counter(step[1])
-                    new_high = tuple(sorted((Counter(high) - out + into).elements(), reverse=True))
-                    new_low = tuple(sorted((Counter(low) - into + out).elements(), reverse=True))
-                    for b in (high, low):
-                        under[b] -= n
-                    under = +under
-                    for b in (new_high, new_low):
-                        if b:
-                            (full if sum(b) == capacity else under)[b] += n
-                    better = True
-                if better or steps <= 0:
-                    break
-            if better or steps <= 0:
-                break
-    full.update(under)
+    under = _Classes(capacity)
+    for b, n in bins.items():
+        if n and sum(b) < capacity:
+            k = under.add(b)  # may make the arrays anew
+            under.count[k] = n
+    spare = sum(bins.values()) - -(-sum(sum(b) * n for b, n in bins.items()) // capacity)
+    under.waits[: len(under.bins)] = True
+    todo = [(int(under.fill[k]), k) for k in range(len(under.bins))]
+    heapq.heapify(todo)
+
+    def again(k: int) -> None:
+        if not under.waits[k]:
+            under.waits[k] = True
+            heapq.heappush(todo, (int(under.fill[k]), k))
+
+    while todo and spare > 0:
+        low = todo[0][1]
+        found = under.partners(low, fuller=True) if under.count[low] else ()
+        if not len(found):
+            heapq.heappop(todo)
+            under.waits[low] = False
+            continue
+        high = int(found[np.argmax(under.fill[found])])
+        step = _steps(under.bins[high], under.bins[low], capacity)
+        n = int(min(under.count[high], under.count[low]) if high != low else under.count[low] // 2)
+        give, take = Counter(step[0]), Counter(step[1])
+        new_high = tuple(sorted((Counter(under.bins[high]) - give + take).elements(), reverse=True))
+        new_low = tuple(sorted((Counter(under.bins[low]) - take + give).elements(), reverse=True))
+        for k in (high, low):
+            under.count[k] -= n
+        for b in (new_high, new_low):
+            if not b:
+                spare -= n
+            elif sum(b) == capacity:
+                full[b] += n
+            else:
+                k = under.number[b] if b in under.number else under.add(b)
+                had, under.count[k] = int(under.count[k]), under.count[k] + n
+                if had < 2:  # new pairs: with the others, or of two bins of the class itself
+                    again(k)
+                    if not had:
+                        found = under.partners(k, fuller=False)
+                        for other in found[~under.waits[found]].tolist():
+                            again(other)
+        if len(under.bins) > 256 and 2 * np.count_nonzero(under.count) < len(under.bins):
+            under.squeeze()
+            todo = [(int(under.fill[k]), k) for k in np.flatnonzero(under.waits).tolist()]
+            heapq.heapify(todo)
+    full.update({b: n for b, n in zip(under.bins, under.count.tolist()) if n})
     return full
 
 
-def plan(lengths: dict[int, int], capacity: int = CAPACITY, steps: int = STEPS) -> list[tuple[int, int, int, int, int]]:
+def plan(lengths: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
     """Rows (length, first rank, pieces a bin, first sequence, offset in the bin), by length and rank: each serves the ranks up to the next row's."""
-    packed = local_search(best_fit(lengths, capacity), capacity, steps)
+    packed = local_search(best_fit(lengths, capacity), capacity)
     slots, sequence = defaultdict(list), 0
     for b in sorted(packed):
         offset = 0
@@ -168,7 +247,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAP
     return as_docs(docs, id_col, text_col).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY, steps: int = STEPS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: a row for each piece of every document.
 
     Null and empty texts are the end id alone. Rows that repeat a doc_id are packed each on its own; ties between equal
@@ -179,7 +258,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPAC
     salts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).cast("int"))
     counts = materialise(salted.groupBy("length", "salt").agg(F.count("*").alias("n")), "counts")
-    rows = plan({r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}, capacity, steps)  # at most `capacity` rows
+    rows = plan({r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}, capacity)  # at most `capacity` rows
     sizes, ranks, ks, firsts, offsets = (np.array(c, np.int64) for c in (zip(*rows) if rows else [()] * 5))
     shared = docs.sparkSession.sparkContext.broadcast((sizes, ranks, ks, firsts, offsets))  # a few rows for each class of bins, see best_fit
     before = counts.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)))

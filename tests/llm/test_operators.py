@@ -260,6 +260,19 @@ def test_local_search_empties_a_bin():
     assert sum(packing.local_search(Counter({(6, 3): 1, (4, 4): 1, (3,): 1}), 10).values()) == 2
 
 
+def test_local_search_ends_without_an_exchange():
+    from collections import Counter
+
+    rng = random.Random(1)
+    lengths = Counter(rng.randrange(700, 2001) for _ in range(1000))
+    before = packing.best_fit(lengths)
+    after = packing.local_search(before)
+    under = sorted((b for b in after if sum(b) < 4096), key=sum)
+    bound = -(-sum(k * n for k, n in lengths.items()) // 4096)
+    assert bound <= sum(after.values()) < sum(before.values()) and sum((Counter({x: n for x in b for n in [b.count(x) * k]}) for b, k in after.items()), Counter()) == lengths
+    assert sum(after.values()) == bound or not any(packing._steps(y, x, 4096) for i, x in enumerate(under) for y in under[i:] if x != y or after[x] > 1)
+
+
 def test_id_files(rows, docs, spark, tmp_path):
     folder = f"file://{tmp_path}/ids"
     out = listed(idfiles.id_files(docs, WORDS, 2, folder), "doc_id", "start", "n_tokens", "ids_crc32")
