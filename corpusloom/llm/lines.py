@@ -1,10 +1,12 @@
 """Line deduplication by pairwise alignment (operator 5).
 
 A line is a run between line feeds with at least one word; lines are known by the XXH64 of their bytes. Overlapping
-documents are found through shared lines: every document that has a line is paired with the earliest that does (smallest
-doc_id): as many pairs as lines at most, and never all pairs of a group.
+documents are found through shared keys: every document that has a key is paired with the earliest that does (smallest
+doc_id), never all pairs of a group. Keys are the lines, the pairs of neighbouring lines, and the shortest runs of lines
+of ``MIN_WORDS`` words from each line on and up to it, so that a block meets the earliest document that has those runs
+and not only the earliest ones that have its lines.
 
-Lines that more than ``RARE`` of all documents have (a share, so that rarity means the same at every size; always more
+Keys that more than ``RARE`` of all documents have (a share, so that rarity means the same at every size; always more
 than ``RARE_DOCS`` documents) take a join of their own, so that they are no single task's work. With ``rare=None``, as the
 query and the pipeline call it, they pair documents like all others; by default they pair none.
 
@@ -15,8 +17,9 @@ join it. The aligned blocks of ``MIN_WORDS`` words or more leave the later docum
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,7 @@ from .common import as_docs, materialise, out_batch, rows_of
 
 RARE, RARE_DOCS, MIN_WORDS = 0.01, 50, 5
 
-LINES = pa.schema([("doc_id", pa.int64()), ("lines", pa.list_(pa.int64())), ("words", pa.list_(pa.int32()))])
+LINES = pa.schema([("doc_id", pa.int64()), ("lines", pa.list_(pa.int64())), ("words", pa.list_(pa.int32())), ("keys", pa.list_(pa.int64()))])
 CUTS = pa.schema([("doc_id", pa.int64()), ("cuts", pa.list_(pa.int32()))])
 
 
@@ -84,11 +87,27 @@ def _split(text: bytes) -> list[bytes]:
     return [x for x in text.split(b"\n") if x.strip()]
 
 
-def _hash_lines(batches):
+def keys_of(lines: np.ndarray, words: list[int], min_words: int = MIN_WORDS) -> list[int]:
+    """The different lines, pairs of neighbouring lines and shortest runs of ``min_words`` words, each as 64 bits."""
+    n, spans = len(words), set()
+    upto = [0, *accumulate(words)]
+    for i in range(n):
+        spans.add((i, min(i + 2, n)))
+        if (j := bisect_left(upto, upto[i] + min_words)) <= n:
+            spans.add((i, j))
+        if upto[i + 1] >= min_words:
+            spans.add((bisect_right(upto, upto[i + 1] - min_words) - 1, i + 1))
+    raw = lines.tobytes()
+    runs = {xxhash.xxh64_intdigest(raw[8 * i : 8 * j], 1) for i, j in spans if j > i + 1}
+    return list({*lines.tolist(), *np.fromiter(runs, np.uint64, len(runs)).view(np.int64).tolist()})
+
+
+def _hash_lines(batches, min_words: int):
     for ids, texts in rows_of(batches, "doc_id", "text"):
         lines = [_split(t) for t in texts]
         hashes = [np.fromiter(map(xxhash.xxh64_intdigest, x), np.uint64, len(x)).view(np.int64) for x in lines]
-        yield out_batch(LINES, doc_id=ids, lines=hashes, words=[[len(w.split()) for w in x] for x in lines])
+        words = [[len(w.split()) for w in x] for x in lines]
+        yield out_batch(LINES, doc_id=ids, lines=hashes, words=words, keys=[keys_of(h, w, min_words) for h, w in zip(hashes, words)])
 
 
 def _align(batches, min_words: int):
@@ -122,22 +141,22 @@ def _drop_lines(batches, names: list[str]):
 def line_cuts(docs: DataFrame, rare: float | None = RARE, rare_docs: int = RARE_DOCS, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, cuts: for each document that loses lines, which of its lines with words (from 0)."""
     rows = as_docs(docs.filter(F.col(id_col).isNotNull()), id_col, text_col)
-    lines = materialise(rows.mapInArrow(_hash_lines, "doc_id long, lines array<long>, words array<int>"), "lines")
+    lines = materialise(rows.mapInArrow(lambda b: _hash_lines(b, min_words), "doc_id long, lines array<long>, words array<int>, keys array<long>"), "lines")
     again = materialise(lines.groupBy("doc_id").agg(F.count("*").alias("times")).filter("times > 1").select("doc_id"), "repeated")
     if not again.isEmpty():
         lines = lines.join(again, "doc_id", "left_anti")
-    has = lines.select("doc_id", F.explode(F.array_distinct("lines")).alias("line"))
+    has = lines.select("doc_id", F.explode("keys").alias("key"))
     most = max(rare_docs, int(lines.count() * (RARE if rare is None else rare)))
-    counts = has.groupBy("line").agg(F.count("*").alias("df"), F.min("doc_id").alias("first")).filter("df > 1")
+    counts = has.groupBy("key").agg(F.count("*").alias("df"), F.min("doc_id").alias("first")).filter("df > 1")
     counts = materialise(counts, "counts")
-    common = F.broadcast(counts.filter(F.col("df") > most).select("line", "first"))  # no more than 1 / rare times the lines of an average document
-    shared = counts.filter(F.col("df") <= most).select("line", "first")
-    found = has.join(common, "line", "left_anti").join(shared, "line")
+    common = F.broadcast(counts.filter(F.col("df") > most).select("key", "first"))  # no more than 1 / rare times the keys of an average document
+    shared = counts.filter(F.col("df") <= most).select("key", "first")
+    found = has.join(common, "key", "left_anti").join(shared, "key")
     if rare is None:
-        found = found.unionByName(has.join(common, "line"))
+        found = found.unionByName(has.join(common, "key"))
     pairs = found.filter("doc_id <> first").select("doc_id", "first").distinct()
     theirs = lines.select(F.col("doc_id").alias("first"), F.col("lines").alias("their_lines"))
-    both = pairs.join(theirs, "first").join(lines, "doc_id").select("doc_id", "lines", "words", "their_lines")
+    both = pairs.join(theirs, "first").join(lines.drop("keys"), "doc_id").select("doc_id", "lines", "words", "their_lines")
     cuts = both.mapInArrow(lambda b: _align(b, min_words), "doc_id long, cuts array<int>").filter("size(cuts) > 0")
     return cuts.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("cuts"))).alias("cuts"))
 
@@ -149,7 +168,7 @@ def drop_common_lines(docs: DataFrame, rare: float | None = RARE, rare_docs: int
     Decisions are made on the input, not on what is left of earlier documents. Documents that lose every line stay, with
     what blank lines they had. A null text comes back empty. Rows with a null doc_id, or with one that other rows have
     too, have no place in the order and stay as they are. Lines that occur twice in a document are one line to the
-    search. An empty table gives an empty result. With ``rare=None`` no line is too common to count.
+    search. An empty table gives an empty result. With ``rare=None`` no key is too common to count.
     """
     docs = docs.drop("n_lines", "n_cut")
     cuts = materialise(line_cuts(docs, rare, rare_docs, min_words, id_col, text_col), "cuts").toDF("__of", "__cuts")

@@ -336,6 +336,24 @@ def test_large_groups_lose_their_common_blocks(spark, tmp_path):
     assert sum(r.n_cut for r in queries.op5_line_dedup(spark, str(tmp_path)).collect()) == 69 * 3 + 80 * 2
 
 
+def test_a_block_meets_the_earliest_document_that_has_it_as_a_block(spark):
+    one, two, three, short = "first line of the block", "second line of the block", "third line of the block", ["a b", "c d", "e f"]
+    texts = ["\n".join(x) for x in ([two, "own 0", one], [three, "own 1", two], [one, two, three], ["own 3", one, two, three, "own 3 too"], short[::-1], short, ["own 6", *short])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got, lone = dict(listed(lines.drop_common_lines(df), "doc_id", "n_cut")), {r[0]: r[3] for r in brute.lines(list(enumerate(texts)), align=lines.patience)}
+    assert got[3] == got[6] == 3 and lone[6] == 0  # the earliest document of each line alone has the short lines in reverse
+
+
+def test_keys_of_lines():
+    rng = random.Random(4)
+    for _ in range(300):
+        words = [rng.randint(1, 7) for _ in range(rng.randrange(9))]
+        spans = {(i, j) for j in range(len(words) + 1) for i in range(j)}
+        enough = {x for x in spans if sum(words[slice(*x)]) >= 5}
+        want = {(i, j) for i, j in spans if j - i <= 2 or (i, j) in enough and not {(i, j - 1), (i + 1, j)} <= enough}
+        assert len(lines.keys_of(np.arange(len(words)), words)) == len(want)
+
+
 # ---- 7 --------------------------------------------------------------------------------------------------------
 
 
