@@ -11,8 +11,8 @@ than ``RARE_DOCS`` documents) take a join of their own, so that they are no sing
 query and the pipeline call it, they pair documents like all others; by default they pair none.
 
 Each pair is aligned by patience diff: the lines that either document has exactly once are matched in order (the
-longest increasing run), and the stretches between matches are treated in the same way; equal lines next to a match
-join it. The aligned blocks of ``MIN_WORDS`` words or more leave the later document.
+longest increasing run), and the stretches between matches are treated in the same way; a stretch without such a line is
+aligned by a longest common subsequence; equal lines next to a match join it. The aligned blocks of ``MIN_WORDS`` words or more leave the later document.
 """
 
 from __future__ import annotations
@@ -36,6 +36,30 @@ LINES = pa.schema([("doc_id", pa.int64()), ("lines", pa.list_(pa.int64())), ("wo
 CUTS = pa.schema([("doc_id", pa.int64()), ("cuts", pa.list_(pa.int32()))])
 
 
+def longest_common(a: list[int], b: list[int], a0: int, a1: int, b0: int, b1: int) -> list[tuple[int, int]]:
+    """A longest common subsequence of a[a0:a1] and b[b0:b1] as positions, from the end; rows of its table are bits of one integer."""
+    in_a, at = set(a[a0:a1]), {}
+    js = [j for j in range(b0, b1) if b[j] in in_a]
+    for k, j in enumerate(js):
+        at[b[j]] = at.get(b[j], 0) | 1 << k
+    found = [i for i in range(a0, a1) if a[i] in at]
+    mask, rows = (1 << len(js)) - 1, [(1 << len(js)) - 1]
+    for i in found:  # a zero at k: row i counts one more up to k than up to k - 1
+        v = rows[-1]
+        u = v & at[a[i]]
+        rows.append(((v + u) | (v - u)) & mask)
+    out, x, y = [], len(found), len(js)
+    while x and y:
+        if a[found[x - 1]] == b[js[y - 1]]:
+            x, y = x - 1, y - 1
+            out.append((found[x], js[y]))
+        elif rows[x] >> y - 1 & 1:  # without b's last line it is as long
+            y -= 1
+        else:
+            x -= 1
+    return out
+
+
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Aligned positions (i, j), both rising, with a[i] == b[j]."""
     out: list[tuple[int, int]] = []
@@ -62,7 +86,9 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
         while k >= 0:
             run.append(both[k])
             k = back[k]
-        if run:
+        if not run:
+            out += longest_common(a, b, a0, a1, b0, b1)
+        else:
             run.reverse()
             out += run
             for (i0, j0), (i1, j1) in zip([(a0 - 1, b0 - 1), *run], [*run, (a1, b1)]):

@@ -319,6 +319,20 @@ def test_patience(a, b):
         assert len(got) == len(brute.patience(a, b))
 
 
+def test_lines_that_occur_twice_are_aligned():
+    block, rng = list("pqr"), random.Random(6)
+    assert lines.common_blocks([*block, "x", *block], ["y", *block, "z"], [9] * 5) == [1, 2, 3]
+    assert lines.common_blocks(["x", *block, "y"], ["v", *block, "w", *block, "z"], [9] * 9) in ([1, 2, 3], [5, 6, 7])
+    for _ in range(300):
+        a, b = ([rng.randrange(4) for _ in range(rng.randrange(9))] for _ in range(2))
+        got = sorted(lines.longest_common(a, b, 0, len(a), 0, len(b)))
+        most = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                most[i + 1][j + 1] = most[i][j] + 1 if x == y else max(most[i][j + 1], most[i + 1][j])
+        assert len(got) == most[-1][-1] and all(a[i] == b[j] for i, j in got) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(got, got[1:]))
+
+
 def test_common_lines_are_not_rare(spark):
     text = "one two three four five six\n"
     df = spark.createDataFrame([(i, text + f"own line number {i} of this document") for i in range(80)], "doc_id long, text string")
