@@ -7,9 +7,11 @@ with a smaller doc_id. Work on all windows would shuffle a row a word, so window
    same phrase, and neighbouring windows mostly share one, so a document has about one phrase for 20 words. Counting
    documents by phrase hash finds the phrases that more than one document has. They go to the tasks as a Bloom filter of
    a fixed size (``FILTER_BITS``): what is broadcast does not grow with the data. A false hit costs work, not results.
-2. *Automata.* Each task compiles the recurring phrases of its shard of documents, as sequences of word numbers, into an
-   Aho-Corasick automaton and streams the shard's documents through it, which locates every occurrence of each phrase by
-   its words. Occurrences that are the phrase of some window yield those windows, as 64-bit keys beside the phrase's.
+2. *Automata.* Winnowing locates the occurrences: a window counts when its least hash is in the filter. Each task also
+   compiles those phrases of its shard of documents, as sequences of word numbers, into an Aho-Corasick automaton and
+   streams the shard's documents through it. Since the phrases come from the same positions, the automaton confirms them
+   and drops none but for a collision of 64-bit hashes. Windows of the occurrences go on as 64-bit keys beside the
+   phrase's.
 3. *Passages.* Occurrences of a phrase meet, in order of doc_id, and a window that an earlier document had is confirmed as
    repeated: phrase hash and window key, 128 bits, are equal. Only spans of repeated windows leave this step.
 4. Documents drop the words that the spans cover.
@@ -168,8 +170,8 @@ class Shard:
         return machine, numbers
 
     def occurrences(self):
-        """(document, phrase, first window, keys of it and the next ones) for every run of windows whose phrase the automaton
-        has found in them."""
+        """(document, phrase, first window, keys of it and the next ones) for every run of windows whose phrase is in the
+        filter; the automaton finds it there as well, but for a collision of hashes."""
         if not self.docs:
             return
         machine, numbers = self.automaton()
