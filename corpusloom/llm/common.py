@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: ASCII white space; all other characters belong to words. ``bytes.split()`` splits at exactly these.
 WHITE = b" \t\n\v\f\r"
+#: Bytes of a batch that a Python worker turns into its own objects at a time.
+SLICE = 12 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,9 +21,11 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a folder of its own where that is unset (tests)."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; in local mode a folder of its own where that is unset (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='corpusloom-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -44,17 +48,43 @@ def materialise(df: DataFrame, kind: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The same columns as c0, c1, ...: whatever names they had, they clash with nothing."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def place_of(df: DataFrame, name: str) -> str:
+    """The name of a column after ``numbered``: the one that is called exactly so, or but for case."""
+    exact = [i for i, c in enumerate(df.columns) if c == name] or [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
+    if not exact:
+        raise ValueError(f"no column {name} among {df.columns}")
+    return f"c{exact[0]}"
+
+
 def as_docs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id`` as long, ``text`` as UTF-8 bytes (null: empty), and the columns to keep; all other columns go, whatever their names."""
-    text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), *[F.col(c) for c in keep])
+    text = F.coalesce(F.col(place_of(df, text_col)).cast("binary"), F.lit(b""))
+    return numbered(df).select(F.col(place_of(df, id_col)).cast("long").alias("doc_id"), text.alias("text"), *[F.col(place_of(df, c)).alias(c) for c in keep])
 
 
-def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple[list, ...]]:
-    """The named columns of every batch as Python lists."""
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches without empty ones, halved until a part has ``SLICE`` bytes at most or is a single row."""
+    todo: list[pa.RecordBatch] = []
     for b in batches:
-        if b.num_rows:
-            yield tuple(b.column(b.schema.get_field_index(n)).to_pylist() for n in names)
+        todo.append(b)
+        while todo:
+            b = todo.pop()
+            if b.num_rows > 1 and b.nbytes > SLICE:
+                half = b.num_rows // 2
+                todo += [b.slice(half), b.slice(0, half)]
+            elif b.num_rows:
+                yield b
+
+
+def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple[list, ...]]:
+    """The named columns as Python lists, some megabytes of them at a time."""
+    for b in slices(batches):
+        yield tuple(b.column(b.schema.get_field_index(n)).to_pylist() for n in names)
 
 
 def out_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:

@@ -5,8 +5,8 @@ bias + linear weights + the inner products of the factor vectors of all pairs, s
 weigh together. Weights are learned from a bounded sample of labelled documents: at most ``TRAIN_ROWS``, the first by
 a hash of doc_id; every document is scored.
 
-Learning keeps the buckets that at least ``MIN_DOCS`` sampled documents have and whose presence tells most about the
-label (``FEATURES`` by the likelihood-ratio statistic); others weigh nothing. It minimises log loss with an L2 penalty by full-batch
+Learning keeps all buckets that at least ``MIN_DOCS`` sampled documents have and whose presence tells about the label (a
+likelihood-ratio statistic over ``TELLING``); others weigh nothing. It minimises log loss with an L2 penalty by full-batch
 Adam from a fixed start, so a score is an estimate of the probability of the label, and the same on every run.
 """
 
@@ -16,15 +16,17 @@ import re
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import as_docs, out_batch, rows_of
+from .common import as_docs, numbered, out_batch, place_of, rows_of, slices
 
 BUCKETS = 1 << 20
-FACTORS, FEATURES, MIN_DOCS = 4, 1024, 3
+FACTORS, MIN_DOCS = 4, 3
+#: The likelihood-ratio statistic that one bucket in a hundred passes by chance.
+TELLING = 6.63
 TRAIN_ROWS = 12_000
 CUT = 0.3
 #: Terms remembered by each Python worker before it starts afresh.
@@ -95,8 +97,7 @@ def fit(terms: list[np.ndarray], labels: np.ndarray, steps: int = 200, rate: flo
     counts = np.bincount(flat, minlength=BUCKETS)
     gain = _telling(counts, np.bincount(flat, weights=labels[rows], minlength=BUCKETS), n, n_toxic)
     gain[counts < MIN_DOCS] = 0
-    kept = np.argsort(-gain, kind="stable")[:FEATURES]
-    kept = np.sort(kept[gain[kept] > 6.63])  # one in a hundred by chance
+    kept = np.flatnonzero(gain > TELLING)
     if not len(kept):
         return empty
     at = np.full(BUCKETS, -1)
@@ -170,7 +171,7 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
     Null and empty texts have no terms and take the bias alone. A null doc_id counts as not held out. Rows that repeat
     are scored each on its own; an empty table gives an empty result; other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(machine)  # at most FEATURES weights
+    shared = docs.sparkSession.sparkContext.broadcast(machine)  # weights of BUCKETS buckets at most, whatever the input
 
     def score_all(batches):
         m = shared.value
@@ -182,11 +183,16 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
 
 
 def with_score(docs: DataFrame, machine: Machine, name: str = "score", text_col: str = "text") -> DataFrame:
-    """Every row of ``docs``, with all its columns, and its score in the column ``name``; see score."""
+    """Every row of ``docs``, with all its columns, and its score in a last column ``name``; see score."""
     shared = docs.sparkSession.sparkContext.broadcast(machine)
+    rows = numbered(docs)
+    schema = T.StructType([*rows.schema, T.StructField("score", T.DoubleType())])
 
-    @F.pandas_udf("double")
-    def scores(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.score(t or b"") for t in texts], dtype="float64")
+    def score_all(batches):
+        m = shared.value
+        for b in slices(batches):
+            scores = pa.array([m.score(t) for t in b.column(b.num_columns - 1).to_pylist()], pa.float64())
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], scores], names=schema.names)
 
-    return docs.withColumn(name, scores(F.col(text_col).cast("binary")))
+    texts = rows.withColumn("score", F.coalesce(F.col(place_of(docs, text_col)).cast("binary"), F.lit(b"")))
+    return texts.mapInArrow(score_all, schema).toDF(*docs.columns, name)
