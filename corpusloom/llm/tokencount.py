@@ -1,26 +1,33 @@
 """Token counts without ids (operator 9).
 
 A document is reduced to its pre-tokens: a run of blanks with the run of other characters after it. No piece of the
-vocabulary holds a blank after another character, so merges never cross a pre-token's border and counts add up. The
-library counts the pieces of each distinct pre-token once for as long as it is remembered; a document's count is the
-sum over its pre-tokens of frequency times pieces. Distinct pre-tokens, frequencies and the join between them stay
-within the task that reads the documents, so nothing is shuffled.
+vocabulary holds a blank after another character, so merges never cross a pre-token's border and counts add up.
+
+Documents are read in blocks of some megabytes. A block's distinct pre-tokens become rows, numbered within the block, and
+each of its documents a row of numbers and frequencies. Distinct pre-tokens of all blocks are found with map-side combining,
+and the library counts the pieces of each once. The counts are joined back to the blocks' pre-tokens, a row for each block
+that has one, however often; they meet the block's documents, whose frequencies they multiply, and the products are summed.
+No ids are kept, a common pre-token is one row a block, and no text is shuffled.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import as_docs, out_batch, rows_of
+from .common import as_docs, materialise, rows_of, spread
 
 LIMIT = 4096
-#: Pre-tokens remembered by each Python worker before it starts afresh.
-MEMO = 600_000
 
+#: A block's pre-tokens (``pretoken`` is set) and documents (``freqs`` is set).
+BLOCKS = pa.schema([("block", pa.int64()), ("number", pa.int32()), ("pretoken", pa.binary()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("numbers", pa.list_(pa.int32())), ("freqs", pa.list_(pa.int32()))])
 COUNTS = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 _RUNS = re.compile(rb" +[^ ]*")
 
@@ -34,30 +41,22 @@ class PieceCounter:
             raise ValueError(f"{path} has pieces that cross a blank")
         if self.model.encode("a") != self.model.encode(" a")[1:] and self.model.encode("a b") != self.model.encode("a") + self.model.encode("b"):
             raise ValueError(f"{path} does not put a blank before a text")
-        self.memo: dict[bytes, int] = {}
-
-    def _learn(self, new: list[bytes]) -> None:
-        """Pieces of pre-tokens, each without the one blank that the library puts before a text."""
-        texts = [t.decode("utf-8", "replace") for t in new]
-        self.memo.update(zip(new, map(len, self.model.encode(texts, num_threads=1))))
-        if b"" in self.memo:
-            self.memo[b""] = 1  # a lone blank: the library gives nothing for an empty text
-
-    def count(self, text: bytes) -> int:
-        if not text:
-            return 0
-        if b"\xe2\x96\x81" in text:  # the library's mark for a blank
-            text = text.replace(b"\xe2\x96\x81", b" ")
-        if b"  " in text or text[0] == 32:
-            words = Counter([w[1:] for w in _RUNS.findall(b" " + text)])
-        else:
-            words = Counter(text.split(b" "))
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        if new := [w for w in words if w not in memo]:
-            self._learn(new)
-        return sum([n * memo[w] for w, n in words.items()])
+
+    def pieces(self, pretokens: list[bytes]) -> list[int]:
+        """How many pieces each has, without the one blank that the library puts before a text; of a lone blank, which is empty here, the library gives nothing."""
+        texts = [t.decode("utf-8", "replace") for t in pretokens]
+        return [n if t else 1 for t, n in zip(texts, map(len, self.model.encode(texts, num_threads=1)))]
+
+
+def pretokens(text: bytes) -> list[bytes]:
+    """A text's pre-tokens in order, each without its first blank."""
+    if not text:
+        return []
+    if b"\xe2\x96\x81" in text:  # the library's mark for a blank
+        text = text.replace(b"\xe2\x96\x81", b" ")
+    if b"  " in text or text[0] == 32:
+        return [w[1:] for w in _RUNS.findall(b" " + text)]
+    return text.split(b" ")
 
 
 _COUNTERS: dict[str, PieceCounter] = {}
@@ -69,6 +68,47 @@ def counter(path: str) -> PieceCounter:
     return _COUNTERS[path]
 
 
+def _blocks(batches) -> Iterator[pa.RecordBatch]:
+    """Each slice of documents is a block under a random number; no two share one but by a chance of 1 in 2^63 for a pair."""
+    for ids, texts in rows_of(batches, "doc_id", "text"):
+        number: dict[bytes, int] = {}
+        numbers, freqs, ends = [], [], [0]
+        for t in texts:
+            times = Counter(pretokens(t))
+            numbers.append(np.array([number.setdefault(w, len(number)) for w in times], np.int32))
+            freqs.append(np.fromiter(times.values(), np.int32, len(times)))
+            ends.append(ends[-1] + len(times))
+        block, n, d = uuid.uuid4().int >> 65, len(number), len(ids)
+        lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(x))) for x in (numbers, freqs)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), pa.array(np.arange(n, dtype=np.int32)), pa.array(number, pa.binary()), *(pa.nulls(n, f.type) for f in list(BLOCKS)[3:])], schema=BLOCKS)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(d, block)), pa.nulls(d, pa.int32()), pa.nulls(d, pa.binary()), pa.array(ids, pa.int64()), pa.array(list(map(len, texts)), pa.int64()), *lists], schema=BLOCKS)
+
+
+def _sum(batches):
+    """Rows sorted by block, its pre-tokens' piece counts first, in order, then its documents."""
+    block, pieces, parts = None, np.zeros(0, np.int64), []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        blocks, number = b.column(0).to_numpy(), b.column(1)
+        cuts = [0, *(np.flatnonzero(blocks[1:] != blocks[:-1]) + 1).tolist(), len(blocks)]
+        for a, z in zip(cuts, cuts[1:]):
+            if blocks[a] != block:
+                block, pieces, parts = blocks[a], np.zeros(0, np.int64), []
+            n = z - a - number.slice(a, z - a).null_count
+            parts.append(b.column(2).slice(a, n).to_numpy(zero_copy_only=False).astype(np.int64))
+            if n == z - a:
+                continue
+            if len(parts) > 1 or not len(pieces):
+                pieces = np.concatenate([pieces, *parts])
+                parts = []
+            rows = b.slice(a + n, z - a - n)
+            numbers, freqs = rows.column(5), rows.column(6)
+            sums = np.concatenate(([0], np.cumsum(pieces[numbers.flatten().to_numpy()] * freqs.flatten().to_numpy())))
+            ends = np.concatenate(([0], np.cumsum(numbers.value_lengths().to_numpy())))
+            yield pa.RecordBatch.from_arrays([rows.column(3), rows.column(4), pa.array(sums[ends[1:]] - sums[ends[:-1]])], schema=COUNTS)
+
+
 def token_counts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every row.
 
@@ -77,10 +117,17 @@ def token_counts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     empty result. Texts are counted whole, whatever their length.
     """
 
-    def count_all(batches):
+    def count_pieces(batches):
         c = counter(model)
-        for ids, texts in rows_of(batches, "doc_id", "text"):
-            yield out_batch(COUNTS, doc_id=ids, n_bytes=list(map(len, texts)), n_tokens=list(map(c.count, texts)))
-
-    counted = as_docs(docs, id_col, text_col).mapInArrow(count_all, "doc_id long, n_bytes long, n_tokens long")
-    return counted.selectExpr("doc_id", "n_bytes", "n_tokens", f"n_tokens > {limit} AS over_limit")
+        for (words,) in rows_of(batches, "pretoken"):
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(c.pieces(words), pa.int32())], names=["counted", "pieces"])
+
+    ddl = "block long, number int, pretoken binary, doc_id long, n_bytes long, numbers array<int>, freqs array<int>"
+    blocks = materialise(as_docs(docs, id_col, text_col).mapInArrow(_blocks, ddl), "blocks")
+    words = blocks.filter("pretoken IS NOT NULL").select("block", "number", "pretoken")
+    pieces = words.select("pretoken").distinct().mapInArrow(count_pieces, "counted binary, pieces int")
+    counted = words.join(pieces.hint("merge"), F.col("pretoken") == F.col("counted")).select("block", "number", "pieces")
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "long"), ("n_bytes", "long"), ("numbers", "array<int>"), ("freqs", "array<int>"))]
+    rows = blocks.filter("freqs IS NOT NULL").select("block", F.lit(None).cast("int").alias("number"), F.lit(None).cast("int").alias("pieces"), "doc_id", "n_bytes", "numbers", "freqs")
+    met = spread(counted.select("*", *nothing).unionByName(rows), "block").sortWithinPartitions("block", F.col("number").asc_nulls_last())
+    return met.mapInArrow(_sum, "doc_id long, n_bytes long, n_tokens long").selectExpr("doc_id", "n_bytes", "n_tokens", f"n_tokens > {limit} AS over_limit")
