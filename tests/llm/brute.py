@@ -79,6 +79,24 @@ def measures(text):
     return len(w), sum(len(x.decode()) for x in w), sum((text or "").count(c) for c in "#*$%&|<>"), len(lines), len(lines) - len(set(lines)), len(inside)
 
 
+def longest_common(a, b):
+    """By the full table; from the end, b's last line is left out first where that loses nothing."""
+    most = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            most[i + 1][j + 1] = most[i][j] + 1 if x == y else max(most[i][j + 1], most[i + 1][j])
+    out, i, j = [], len(a), len(b)
+    while i and j:
+        if a[i - 1] == b[j - 1]:
+            i, j = i - 1, j - 1
+            out.insert(0, (i, j))
+        elif most[i][j - 1] == most[i][j]:
+            j -= 1
+        else:
+            i -= 1
+    return out
+
+
 def patience(a, b):
     """Aligned positions, by recursion."""
     if not a or not b:
@@ -89,12 +107,13 @@ def patience(a, b):
         return patience(a[:-1], b[:-1]) + [(len(a) - 1, len(b) - 1)]
     both = [(i, b.index(x)) for i, x in enumerate(a) if a.count(x) == 1 and b.count(x) == 1]
     if not both:
-        return []
-    runs = []  # the longest rising run that ends with each match; of equal ones the one whose last match before it is the lowest
+        common_a, common_b = [i for i, x in enumerate(a) if x in b], [j for j, x in enumerate(b) if x in a]
+        return [(common_a[i], common_b[j]) for i, j in longest_common([a[i] for i in common_a], [b[j] for j in common_b])]
+    longest = lambda r: (len(r), -r[-1][1] if r else 0)  # noqa: E731  of equally long runs the one that ends lowest in b
+    runs = []  # the longest rising run that ends with each match
     for k, (_, j) in enumerate(both):
-        best = max((r for r in runs if r[-1][1] < j), key=len, default=[])
-        runs.append([*best, both[k]])
-    run = max(runs, key=len)
+        runs.append([*max((r for r in runs if r[-1][1] < j), key=longest, default=[]), both[k]])
+    run = max(runs, key=longest)
     out, at = [], (-1, -1)
     for i, j in [*run, (len(a), len(b))]:
         out += [(at[0] + 1 + x, at[1] + 1 + y) for x, y in patience(a[at[0] + 1 : i], b[at[1] + 1 : j])]
@@ -103,24 +122,31 @@ def patience(a, b):
     return out
 
 
-def lines(rows, rare=0.01, rare_docs=50, min_words=5, align=patience):
+def line_keys(split, min_words):
+    """The lines, pairs of neighbours, and runs of enough words that are not longer than needed at both ends."""
+    n = [len(words(x)) for x in split]
+    spans = {(i, j) for j in range(len(n) + 1) for i in range(max(0, j - 40), j)}
+    enough = {x for x in spans if sum(n[slice(*x)]) >= min_words}
+    return {tuple(split[slice(*x)]) for x in spans if x[1] - x[0] <= 2 or x in enough and not {(x[0], x[1] - 1), (x[0] + 1, x[1])} <= enough}
+
+
+def lines(rows, min_words=5, all_pairs=False):
+    """doc_id, what is left, lines, lines cut; with ``all_pairs`` every document is aligned with all earlier ones."""
     split = {i: [x for x in (t or "").split("\n") if words(x)] for i, t in rows}
     having = defaultdict(set)
     for i, x in split.items():
-        for line in x:
-            having[line].add(i)
-    most = max(rare_docs, int(len(rows) * rare))
+        for key in line_keys(x, min_words):
+            having[key].add(i)
     partners = defaultdict(set)
     for who in having.values():
-        if 2 <= len(who) <= most:
-            for i in who - {min(who)}:
-                partners[i].add(min(who))
+        for i in who:
+            partners[i] |= {p for p in who if p < i} if all_pairs else {min(who)} - {i}
     out = []
     for i, t in rows:
         gone = set()
         for p in partners[i]:
             block, last = [], None
-            for a, b in [*align(split[p], split[i]), (-9, -9)]:
+            for a, b in [*patience(split[p], split[i]), (-9, -9)]:
                 if last != (a - 1, b - 1):
                     if sum(len(words(split[i][x])) for x in block) >= min_words:
                         gone.update(block)

@@ -2,7 +2,7 @@ import duckdb
 import pytest
 
 from llm import brute
-from corpusloom.llm import lines, toxicity
+from corpusloom.llm import toxicity
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 SF = "/root/testdata/sf0.001"
@@ -13,7 +13,7 @@ def test_pipeline_against_brute_force(spark):
     machine = toxicity.train(docs, labels)
     rows = duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet' ORDER BY 1").fetchall()
     rows = [(i, t) for i, t in rows if machine.score((t or "").encode()) < toxicity.CUT]
-    rows = [(i, t) for i, t, *_ in brute.lines(rows, align=lambda a, b: lines.patience(a, b))]
+    rows = [(i, t) for i, t, *_ in brute.lines(rows)]
     keep = {i for i, _, c in brute.near_groups(rows) if i == c}
     rows = [(i, t) for i, _, _, t in brute.substrings([r for r in rows if r[0] in keep])]
     got = docs
