@@ -1,14 +1,16 @@
 """Quality rules with adaptive thresholds (operator 1).
 
-One pass measures every document. A second, tiny, step sketches the distribution of
-each ratio per language and source and turns its quartiles into fences; documents
-beyond a fence of their own group are not kept.
-
-The quantile sketch is a log-linear histogram: exact below 64, 32 buckets for each
-power of two above, so a quantile is within 1/32 of its true value. Sketches merge by
-adding counts, whatever the order, so results are the same on every run; groups of
-fewer than ``min_group`` documents take the merged sketch of their language, and
-languages too small for that the sketch of all documents.
+One pass measures every document. A second, tiny, step sketches the distribution of each ratio per language and source and
+turns its quantiles into fences; documents beyond a fence of their own group are not kept.
+
+The quantile sketch is a log-linear histogram: exact below 64, 32 buckets for each power of two above, so a quantile is
+within 1/32 of its true value. Sketches merge by adding counts, whatever the order, so results are the same on every run.
+
+A fence lies a multiple of the distance between the median and a tail quantile beyond that quantile, so both its place and
+its width come from the group. No fence has a floor of its own: where most documents of a group have no symbols at all,
+its fence is there. A group's quantiles are drawn towards those of its language, and a language's towards those of all
+documents, as if ``PRIOR`` documents of the parent were among its own: a small group leans on its parent, a large one on
+itself, and no size is treated differently from the next.
 """
 
 from __future__ import annotations
@@ -16,20 +18,22 @@ from __future__ import annotations
 from collections import Counter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WHITE, as_docs, materialise, out_batch, rows_of
 
 SYMBOLS = b"#*$%&|<>"
 
-#: metric -> (the least spread between quartiles that counts, whether there is a lower fence too)
-FENCES: dict[str, tuple[int, bool]] = {
-    "symbols": (300, False),  # symbols for 10,000 words
-    "dup_lines": (1_200, False),  # repeated lines in 10,000 lines
-    "repeats": (1_100, False),  # words in repeated windows in 10,000 words
-    "word_len": (500, True),  # thousandths of characters a word
+#: metric -> (the tail quantile, in thousandths; its distances from the median that the fence lies beyond it; whether there is a lower fence too)
+FENCES: dict[str, tuple[int, int, bool]] = {
+    "symbols": (850, 2, False),  # symbols for 10,000 words
+    "dup_lines": (980, 1, False),  # repeated lines in 10,000 lines
+    "repeats": (950, 3, False),  # words in repeated windows in 10,000 words
+    "word_len": (850, 3, True),  # thousandths of characters a word
 }
+#: Documents of the parent that count beside a group's own.
+PRIOR = 50
 
 STATS = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("source", pa.string())] + [(n, pa.int64()) for n in ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")])
 
@@ -92,50 +96,45 @@ def sketches(stats: DataFrame) -> DataFrame:
     return long.selectExpr("lang", "source", "metric", f"cast({bucket_of('value')} as bigint) AS bucket").groupBy("lang", "source", "metric", "bucket").agg(F.count("*").alias("cnt"))
 
 
-def _quartiles(sk: DataFrame, level: list[str], tag: str) -> DataFrame:
-    """The quartiles (bucket floors) of each metric, of the sketches merged to a level."""
+def quantiles(sk: DataFrame, level: list[str]) -> DataFrame:
+    """n and the quantiles lo, mid and hi (bucket floors) of each metric, of the sketches merged to a level."""
     keys = [*level, "metric"]
+    tail = "CASE metric " + " ".join(f"WHEN '{m}' THEN {f[0]}" for m, f in FENCES.items()) + " END"
     merged = sk.groupBy(*keys, "bucket").agg(F.sum("cnt").alias("cnt"))
-    merged.createOrReplaceTempView(view := f"_merged_{tag}")
-    by = ", ".join(keys)
-    found = merged.sparkSession.sql(f"""
-        SELECT {by}, max(n) AS n, min(CASE WHEN upto * 4 >= n THEN floor_value END) AS q1, min(CASE WHEN upto * 4 >= n * 3 THEN floor_value END) AS q3
-        FROM (SELECT *, {bucket_floor('bucket')} AS floor_value, sum(cnt) OVER (PARTITION BY {by} ORDER BY bucket) AS upto, sum(cnt) OVER (PARTITION BY {by}) AS n FROM {view})
-        GROUP BY {by}""")
-    merged.sparkSession.catalog.dropTempView(view)
-    return found
-
+    by = Window.partitionBy(*keys)
+    ranked = merged.select(*keys, F.expr(bucket_floor("bucket")).alias("floor"), F.sum("cnt").over(by.orderBy("bucket")).alias("upto"), F.sum("cnt").over(by).alias("n"), F.expr(tail).alias("tail"))
+    at = lambda share: F.expr(f"min(CASE WHEN upto * 1000 >= n * ({share}) THEN floor END)")
+    return ranked.groupBy(*keys).agg(F.max("n").alias("n"), at("1000 - tail").alias("lo"), at("500").alias("mid"), at("tail").alias("hi"))
 
-def thresholds(stats: DataFrame, min_group: int = 50, spread_by: int = 3) -> DataFrame:
-    """lang, source and, for each metric, its fences: a row for each language and source among the documents.
 
-    A fence lies ``spread_by`` interquartile ranges beyond the group's own quartile. A range below the least spread of
-    FENCES counts as that, so that a group in which most ratios are equal does not lose the rest.
-    """
+def thresholds(stats: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """lang, source and, for each metric, its fences: a row for each language and source among the documents."""
     sk = materialise(sketches(stats), "sketch")
-    groups = stats.select("lang", "source").distinct()
-    out = groups
-    own, by_lang, whole = _quartiles(sk, ["lang", "source"], "own"), _quartiles(sk, ["lang"], "lang"), _quartiles(sk, [], "all")
 
     def wide(q: DataFrame, keys: list[str], tag: str) -> DataFrame:
-        cols = [F.max(F.when(F.col("metric") == m, F.col(c))).alias(f"{tag}_{m}_{c}") for m in FENCES for c in ("q1", "q3", "n")]
+        cols = [F.max(F.when(F.col("metric") == m, F.col(c))).alias(f"{tag}_{m}_{c}") for m in FENCES for c in ("lo", "mid", "hi", "n")]
         return q.groupBy(*[F.col(k).alias(f"{tag}_{k}") for k in keys]).agg(*cols)
 
-    own, by_lang, whole = wide(own, ["lang", "source"], "o"), wide(by_lang, ["lang"], "l"), wide(whole, [], "a")
+    own, by_lang, whole = wide(quantiles(sk, ["lang", "source"]), ["lang", "source"], "o"), wide(quantiles(sk, ["lang"]), ["lang"], "l"), wide(quantiles(sk, []), [], "a")
+    out = stats.select("lang", "source").distinct()
     out = out.join(own, F.col("lang").eqNullSafe(F.col("o_lang")) & F.col("source").eqNullSafe(F.col("o_source")), "left")
     out = out.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang")), "left")
     out = out.withColumn("a", whole.select(F.struct("*")).scalar()).select("*", "a.*")  # one row, as a scalar subquery
+
+    def drawn(tag: str, m: str, c: str, parent: str) -> str:
+        own = f"coalesce({tag}_{m}_n, 0L)"
+        return f"(({own} * coalesce({tag}_{m}_{c}, 0L) + {prior}L * ({parent})) div ({own} + {prior}L))"
+
     cols = []
-    for m, (least, two_sided) in FENCES.items():
-        q1, q3 = (F.when(F.col(f"o_{m}_n") >= min_group, F.col(f"o_{m}_{c}")).when(F.col(f"l_{m}_n") >= min_group, F.col(f"l_{m}_{c}")).otherwise(F.col(f"a_{m}_{c}")) for c in ("q1", "q3"))
-        reach = spread_by * F.greatest(q3 - q1, F.lit(least))
-        cols.append((q3 + reach).cast("long").alias(f"max_{m}"))
+    for m, (_, times, two_sided) in FENCES.items():
+        lo, mid, hi = (drawn("o", m, c, drawn("l", m, c, f"a_{m}_{c}")) for c in ("lo", "mid", "hi"))
+        cols.append(F.expr(f"{hi} + {times} * ({hi} - {mid})").alias(f"max_{m}"))
         if two_sided:
-            cols.append((q1 - reach).cast("long").alias(f"min_{m}"))
+            cols.append(F.expr(f"{lo} - {times} * ({mid} - {lo})").alias(f"min_{m}"))
     return out.select("lang", "source", *cols)
 
 
-def quality_filter(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_group: int = 50, spread_by: int = 3) -> DataFrame:
+def quality_filter(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", prior: int = PRIOR) -> DataFrame:
     """Measures, ``base_failed`` and ``kept`` for every row of ``docs``.
 
     Null or empty texts have no words, so they fail the base rules. A null language or source is a group of its own.
@@ -143,7 +142,7 @@ def quality_filter(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     than the four named are not read, whatever their names. Results are the same on every run.
     """
     stats = materialise(text_stats(docs, id_col, text_col, lang_col, source_col), "stats")
-    fences = thresholds(stats, min_group, spread_by).withColumnsRenamed({"lang": "t_lang", "source": "t_source"})
+    fences = thresholds(stats, prior).withColumnsRenamed({"lang": "t_lang", "source": "t_source"})
     joined = stats.join(fences, F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source")), "left")
-    within = " AND ".join([f"({RATIOS[m]}) <= max_{m}" for m in FENCES] + [f"({RATIOS[m]}) >= min_{m}" for m, f in FENCES.items() if f[1]])
+    within = " AND ".join([f"({RATIOS[m]}) <= max_{m}" for m in FENCES] + [f"({RATIOS[m]}) >= min_{m}" for m, f in FENCES.items() if f[2]])
     return joined.selectExpr("doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", f"({BASE_FAILED}) AS base_failed", f"NOT ({BASE_FAILED}) AND coalesce({within}, true) AS kept")

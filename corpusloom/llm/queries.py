@@ -78,22 +78,33 @@ def _bucket(v: str) -> str:
 _FLOOR = "CASE WHEN bucket < 64 THEN bucket ELSE (32 + (bucket - 64) % 32) << ((bucket - 64) // 32 + 1) END"
 
 
-def _quality_sql(min_group: int = 50, spread_by: int = 3) -> str:
-    ratios = {m: e.replace(" div ", " // ") for m, e in quality.RATIOS.items()}
+#: The rules of operator 1 as SQL has them: ratio, thousandths of the tail quantile, multiple, lower fence too.
+_RULES = {
+    "symbols": ("n_symbols * 10000 // greatest(n_words, 1)", 850, 2, False),
+    "dup_lines": ("n_dup_lines * 10000 // greatest(n_lines, 1)", 980, 1, False),
+    "repeats": ("n_repeat_words * 10000 // greatest(n_words, 1)", 950, 3, False),
+    "word_len": ("word_chars * 1000 // greatest(n_words, 1)", 850, 3, True),
+}
+
+
+def _quality_sql(prior: int = 50) -> str:
+    ratios = {m: r[0] for m, r in _RULES.items()}
+    tail = "CASE metric " + " ".join(f"WHEN '{m}' THEN {r[1]}" for m, r in _RULES.items()) + " END"
     levels = {"o": "lang, source", "l": "lang", "a": "1"}
     ctes = []
     for tag, by in levels.items():
         part = by if tag != "a" else "NULL::INT"
-        ctes.append(f"""q_{tag} AS (SELECT {by if tag != 'a' else '1 AS one'}, metric, max(n) AS n, min(f) FILTER (upto * 4 >= n) AS q1, min(f) FILTER (upto * 4 >= n * 3) AS q3
+        ctes.append(f"""q_{tag} AS (SELECT {by if tag != 'a' else '1 AS one'}, metric, max(n) AS n, min(f) FILTER (upto * 1000 >= n * (1000 - {tail})) AS lo, min(f) FILTER (upto * 1000 >= n * 500) AS mid, min(f) FILTER (upto * 1000 >= n * {tail}) AS hi
             FROM (SELECT *, {_FLOOR} AS f, sum(cnt) OVER (PARTITION BY {part}, metric ORDER BY bucket) AS upto, sum(cnt) OVER (PARTITION BY {part}, metric) AS n
                   FROM (SELECT {by if tag != 'a' else '1'}, metric, bucket, sum(cnt) AS cnt FROM sk GROUP BY ALL)) GROUP BY ALL)""")
-    checks = []
-    for m, (least, two_sided) in quality.FENCES.items():
-        q = lambda c, m=m: f"(SELECT CASE WHEN o.n >= {min_group} THEN o.{c} WHEN l.n >= {min_group} THEN l.{c} ELSE a.{c} END FROM q_a a LEFT JOIN q_o o ON o.metric = a.metric AND o.lang IS NOT DISTINCT FROM s.lang AND o.source IS NOT DISTINCT FROM s.source LEFT JOIN q_l l ON l.metric = a.metric AND l.lang IS NOT DISTINCT FROM s.lang WHERE a.metric = '{m}')"
-        reach = f"{spread_by} * greatest({q('q3')} - {q('q1')}, {least})"
-        checks.append(f"{ratios[m]} <= {q('q3')} + {reach}")
-        if two_sided:
-            checks.append(f"{ratios[m]} >= {q('q1')} - {reach}")
+    draw = lambda c: f"(coalesce(o.n, 0) * coalesce(o.{c}, 0) + {prior} * ((coalesce(l.n, 0) * coalesce(l.{c}, 0) + {prior} * a.{c}) // (coalesce(l.n, 0) + {prior}))) // (coalesce(o.n, 0) + {prior})"
+    ctes.append(f"""drawn AS (SELECT g.lang, g.source, a.metric, {', '.join(f'{draw(c)} AS {c}' for c in ('lo', 'mid', 'hi'))}
+        FROM (SELECT DISTINCT lang, source FROM s) g, q_a a LEFT JOIN q_o o ON o.metric = a.metric AND o.lang IS NOT DISTINCT FROM g.lang AND o.source IS NOT DISTINCT FROM g.source
+        LEFT JOIN q_l l ON l.metric = a.metric AND l.lang IS NOT DISTINCT FROM g.lang)""")
+    beyond = []
+    for m, (ratio, _, times, two_sided) in _RULES.items():
+        beyond.append(f"d.metric = '{m}' AND ({ratio} > hi + {times} * (hi - mid)" + (f" OR {ratio} < lo - {times} * (mid - lo))" if two_sided else ")"))
+    checks = [f"NOT EXISTS (SELECT 1 FROM drawn d WHERE d.lang IS NOT DISTINCT FROM s.lang AND d.source IS NOT DISTINCT FROM s.source AND ({' OR '.join(f'({b})' for b in beyond)}))"]
     stack = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS metric, CAST({e} AS BIGINT) AS v FROM s WHERE NOT base_failed" for m, e in ratios.items())
     return f"""
     WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),

@@ -140,6 +140,31 @@ def test_outliers_of_a_group_go_and_clean_documents_stay(spark):
 # ---- 2 --------------------------------------------------------------------------------------------------------
 
 
+def test_fences_follow_their_group(spark):
+    """Two sources of one language: what is common in one of them is beyond the fence of the other, and a lone document leans on its language."""
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(n - 2, n + 2)))
+    text = lambda n, every: " ".join(word(n) + ("|" if every and k % every == rng.randrange(3) else "") for k in range(300))
+    rows = [(i, text(5, 0), "en", "prose") for i in range(200)] + [(200 + i, text(8, 20), "en", "tables") for i in range(200)] + [(400, text(8, 20), "en", "prose"), (401, text(5, 0), "en", "alone"), (402, text(25, 3), "en", "alone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    stats = quality.text_stats(df)
+    fences = {r.source: r for r in quality.thresholds(stats).collect()}
+    assert fences["prose"].max_symbols < 400 < fences["tables"].max_symbols
+    assert fences["prose"].max_word_len < fences["tables"].max_word_len and fences["prose"].min_word_len < fences["tables"].min_word_len
+    got = {r.doc_id: r.kept for r in quality.quality_filter(df).collect()}
+    assert not got[400] and not got[402] and got[401] and sum(got[i] for i in range(400)) >= 380
+
+
+def test_quantiles_move_smoothly_with_the_size_of_a_group(spark):
+    fence = []
+    for n in range(47, 54):  # no size at which a group stops leaning on its language
+        rows = [(i, " ".join(["abcde"] * 60 + [f"w{k}" for k in range(40)]), "en", "big") for i in range(500)] + [(500 + i, " ".join(f"longerword{k}" for k in range(100)), "en", "own") for i in range(n)]
+        stats = quality.text_stats(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+        fence.append({r.source: r.max_word_len for r in quality.thresholds(stats).collect()}["own"])
+    steps = [b - a for a, b in zip(fence, fence[1:])]
+    assert max(map(abs, steps)) < 0.05 * fence[0]
+
+
 def test_near_groups(rows, docs):
     assert listed(simhash.near_groups(docs), "doc_id", "fingerprint", "component_id") == sorted((i, f"{f:016x}", c) for i, f, c in brute.near_groups(rows))
 
