@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 
 from .common import as_docs, out_batch, rows_of
 
-#: Pre-tokens and pairs remembered by each Python worker before it starts afresh.
-MEMO, PAIRS = 500_000, 400_000
+#: Pre-tokens, bytes of pre-tokens, and pairs remembered by each Python worker before it starts afresh; longer pre-tokens than LONG are not.
+MEMO, MEMO_BYTES, PAIRS, LONG = 300_000, 16 << 20, 400_000, 256
 
 DIGESTS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
@@ -61,6 +61,7 @@ class ByteBPE:
         self.finder.make_automaton()
         self.pairs: dict[int, bool] = {}
         self.memo: dict[str, tuple[bytes, int, bytes]] = {}
+        self.memo_bytes = 0
 
     def _merge(self, text: bytes, below: int) -> list[bytes]:
         """Merge by rank, with ranks lower than ``below`` only."""
@@ -133,13 +134,20 @@ class ByteBPE:
         try:
             return [memo[p] for p in found]
         except KeyError:
-            if len(memo) > MEMO:
+            if len(memo) > MEMO or self.memo_bytes > MEMO_BYTES:
                 memo.clear()
+                self.memo_bytes = 0
+            own = {}
             for p in found:
-                if p not in memo:
+                if p not in memo and p not in own:
                     ids = self._encode_piece(p.encode())
-                    memo[p] = (b",".join([b"%d" % i for i in ids]), len(ids), self.decode(ids))
-            return [memo[p] for p in found]
+                    got = (b",".join([b"%d" % i for i in ids]), len(ids), self.decode(ids))
+                    if len(p) > LONG:
+                        own[p] = got
+                    else:
+                        memo[p] = got
+                        self.memo_bytes += len(p)
+            return [own[p] if p in own else memo[p] for p in found]
 
     def encode(self, text: str) -> list[int]:
         return [i for p in self.pattern.findall(text) for i in self._encode_piece(p.encode())]

@@ -11,6 +11,8 @@ import numpy as np
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 KEYS_PER_BUCKET = 3
+#: Displacements that a bucket of distinct keys never comes near.
+TRIES = 1 << 24
 
 
 def mix(x: np.ndarray, seed: int) -> np.ndarray:
@@ -41,6 +43,8 @@ class PerfectHash:
     def build(cls, keys: np.ndarray) -> tuple[PerfectHash, np.ndarray]:
         """The hash of distinct keys, and the slot of each."""
         n = len(keys)
+        if len(np.unique(keys)) < n:
+            raise ValueError("keys are not distinct")
         with np.errstate(over="ignore"):
             buckets = max(1, -(-n // KEYS_PER_BUCKET))
             of = (mix(keys, 5) % np.uint64(buckets)).astype(np.int64)
@@ -53,7 +57,7 @@ class PerfectHash:
             by_size = np.argsort(-sizes, kind="stable")
             for b in by_size[: int((sizes > 1).sum())]:
                 own = order[starts[b] : starts[b + 1]]
-                for at in range(0, 1 << 30, 256):
+                for at in range(0, TRIES, 256):
                     found = _slot(keys[own][None, :], tries[:, None] + np.uint64(at), n).astype(np.int64)
                     ok = free[found].all(axis=1)
                     for k in np.flatnonzero(ok):
@@ -64,6 +68,8 @@ class PerfectHash:
                     else:
                         continue
                     break
+                else:
+                    raise ValueError("no displacement fits a bucket")
             alone = by_size[int((sizes > 1).sum()) : int((sizes > 0).sum())]
             left = np.flatnonzero(free)
             displacements[alone] = -left - 1

@@ -29,11 +29,13 @@ THRESHOLD = 4
 SHINGLE = 4
 CHUNK = 4096
 
-#: (threshold, segments): a segment of 2^r - 1 bits holds a Hamming code, one written as 0 is a single bit. 23 + 23 + 18 bits.
+#: (threshold, segments): a segment of 2^r - 1 bits holds a Hamming code, one written as 0 is a single bit. 22 + 22 + 20 bits, 31 anchors.
 Blocks = tuple[tuple[int, tuple[int, ...]], ...]
-BLOCKS: Blocks = ((1, (15,) + (0,) * 8), (1, (15,) + (0,) * 8), (0, (0,) * 18))
-#: 31 + 33 bits: six times the replicas, and a seventieth of the comparisons; for more than some 10^9 distinct fingerprints.
+BLOCKS: Blocks = ((1, (15,) + (0,) * 7), (1, (15,) + (0,) * 7), (0, (15,) + (0,) * 5))
+#: 31 + 33 bits, 203 anchors, some hundredth of the comparisons.
 WIDE_BLOCKS: Blocks = ((1, (31,)), (2, (31, 0, 0)))
+#: Distinct fingerprints from which on comparisons cost more than replicas, so that the wide blocks serve. Both plans give the same links.
+WIDE_FROM = 1 << 27
 
 PRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 MEETINGS = pa.schema([("anchor", pa.int64()), ("visitor", pa.int8()), ("fp", pa.int64()), ("rep", pa.int64())])
@@ -138,6 +140,14 @@ def meetings(fps: np.ndarray, blocks: Blocks = BLOCKS) -> tuple[np.ndarray, np.n
     return np.concatenate(keys).view(np.int64), np.concatenate(visits), np.concatenate(rows)
 
 
+def _homes(batches, blocks: Blocks):
+    """The anchors that are homes, one for each fingerprint and block."""
+    alone = tuple((0, segments) for _, segments in blocks)
+    for b in batches:
+        if b.num_rows:
+            yield pa.RecordBatch.from_arrays([pa.array(meetings(b.column(0).to_numpy().view(np.uint64), alone)[0])], names=["anchor"])
+
+
 def _meet(batches, blocks: Blocks):
     for b in batches:
         fps, reps = b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()
@@ -209,7 +219,7 @@ def _compare_sorted(batches):
 def near_links(prints: DataFrame, chunk: int = CHUNK, blocks: Blocks = BLOCKS) -> DataFrame:
     """a, b: links between ``rep`` numbers of ``prints(fp long, rep long)``, distinct by fp, that join all fingerprints within THRESHOLD bits."""
     met = prints.select("fp", "rep").mapInArrow(lambda b: _meet(b, blocks), "anchor long, visitor byte, fp long, rep long")
-    homes = met.filter("visitor = 0").groupBy("anchor").agg(F.count("*").alias("homes")).filter(F.col("homes") > chunk)
+    homes = prints.select("fp").mapInArrow(lambda b: _homes(b, blocks), "anchor long").groupBy("anchor").agg(F.count("*").alias("homes")).filter(F.col("homes") > chunk)
     hot = materialise(homes.selectExpr("anchor AS hot_anchor", f"cast(ceil(homes / {chunk}) as int) AS chunks"), "hot")
     if hot.isEmpty():
         dealt = met.select("anchor", F.lit(0).alias("chunk"), "visitor", "fp", "rep")
@@ -219,15 +229,18 @@ def near_links(prints: DataFrame, chunk: int = CHUNK, blocks: Blocks = BLOCKS) -
     return spread(dealt, "anchor", "chunk").sortWithinPartitions("anchor", "chunk", "visitor").mapInArrow(_compare_sorted, "a long, b long")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blocks: Blocks = BLOCKS) -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blocks: Blocks | None = None) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id (the smallest doc_id reachable over links) for every row.
 
     Null and empty texts have fingerprint zero and link like any other. Copies and repeated rows share their fingerprint
     and so their component; a null doc_id is never a component's name unless the component has no other. An empty table
-    gives an empty result. Columns other than the two named are not read.
+    gives an empty result. Columns other than the two named are not read. Without ``blocks`` the plan goes by the number
+    of distinct fingerprints; the result is the same.
     """
     rows = materialise(simhash(docs, id_col, text_col), "prints")
     prints = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("rep", F.monotonically_increasing_id()), "distinct")
+    if blocks is None:
+        blocks = WIDE_BLOCKS if prints.count() >= WIDE_FROM else BLOCKS
     links = connected_components(near_links(prints, blocks=blocks))
     grouped = prints.join(links, prints.rep == links.node, "left").select("fp", "least", F.coalesce("root", "rep").alias("root"))
     names = grouped.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -29,8 +29,8 @@ FACTORS, MIN_DOCS = 4, 3
 TELLING = 6.63
 TRAIN_ROWS = 12_000
 CUT = 0.3
-#: Terms remembered by each Python worker before it starts afresh.
-MEMO = 200_000
+#: Terms remembered by each Python worker before it starts afresh; longer terms than LONG are not.
+MEMO, LONG = 100_000, 64
 
 TERMS = pa.schema([("doc_id", pa.int64()), ("terms", pa.list_(pa.int32()))])
 SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
@@ -58,10 +58,14 @@ class Machine:
         known = self.known
         if len(known) > MEMO:
             known.clear()
-        terms = terms_of(text)
+        terms, long = terms_of(text), []
         for t in terms.difference(known):
-            known[t] = self.index.get(bucket(t), -1)
-        found = set(map(known.__getitem__, terms))
+            if len(t) > LONG:
+                long.append(t)
+            else:
+                known[t] = self.index.get(bucket(t), -1)
+        found = set(map(known.__getitem__, terms.difference(long) if long else terms))
+        found.update(self.index.get(bucket(t), -1) for t in long)
         found.discard(-1)
         return sorted(found)
 
@@ -85,6 +89,34 @@ def _telling(counts: np.ndarray, toxic: np.ndarray, n: int, n_toxic: int) -> np.
         return 2 * sum(np.where(o > 0, o * np.log(o / e), 0.0) for o, e in cells)
 
 
+def _sums(values: np.ndarray, of: np.ndarray, size: int) -> np.ndarray:
+    """Sums of rows by group; ``of`` is sorted."""
+    out = np.zeros((size, *values.shape[1:]), values.dtype)
+    if len(of):
+        starts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+        out[of[starts]] = np.add.reduceat(values, starts, axis=0)
+    return out
+
+
+class Design:
+    """The ones of a sparse matrix of documents and features, by document."""
+
+    def __init__(self, doc: np.ndarray, feature: np.ndarray, docs: int, features: int):
+        self.doc, self.feature, self.docs, self.features = doc, feature, docs, features
+        self.by_feature = np.argsort(feature, kind="stable")
+
+    def gradients(self, params: list[np.ndarray], labels: np.ndarray, penalty: float) -> list[np.ndarray]:
+        """Of the mean log loss plus half the penalty times the squared weights, by bias, linear weights and factors."""
+        (b, w, v), doc, feature, by = params, self.doc, self.feature, self.by_feature
+        own = v[feature]
+        xv = _sums(own, doc, self.docs)
+        z = b[0] + _sums(w[feature], doc, self.docs) + 0.5 * ((xv**2).sum(axis=1) - _sums((own**2).sum(axis=1), doc, self.docs))
+        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) / self.docs
+        gx = _sums(g[doc][by], feature[by], self.features)
+        gv = _sums((g[:, None] * xv)[doc][by], feature[by], self.features)
+        return [np.array([g.sum()]), gx + penalty * w, gv - gx[:, None] * v + penalty * v]
+
+
 def fit(terms: list[np.ndarray], labels: np.ndarray, steps: int = 200, rate: float = 0.05, penalty: float = 1e-4, seed: int = 7) -> Machine:
     """Learn from sets of buckets and labels of 0 and 1. Without both labels the score is the same for all texts."""
     n, n_toxic = len(labels), int(labels.sum())
@@ -103,29 +135,12 @@ def fit(terms: list[np.ndarray], labels: np.ndarray, steps: int = 200, rate: flo
     at = np.full(BUCKETS, -1)
     at[kept] = np.arange(len(kept))
     ok = at[flat] >= 0
-    doc, feature = rows[ok], at[flat[ok]]  # the ones of the sparse matrix, by document
-    by_feature = np.argsort(feature, kind="stable")
-
-    def sums(values: np.ndarray, of: np.ndarray, size: int) -> np.ndarray:
-        """Sums of rows by group; ``of`` is sorted."""
-        out = np.zeros((size, *values.shape[1:]), values.dtype)
-        starts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
-        out[of[starts]] = np.add.reduceat(values, starts, axis=0)
-        return out
-
+    design = Design(rows[ok], at[flat[ok]], n, len(kept))
     rng = np.random.default_rng(seed)
     params = [np.array([empty.bias]), np.zeros(len(kept)), rng.normal(0, 0.05, (len(kept), FACTORS))]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for k in range(1, steps + 1):
-        b, w, v = params
-        own = v[feature]
-        xv = sums(own, doc, n)
-        z = b[0] + sums(w[feature], doc, n) + 0.5 * ((xv**2).sum(axis=1) - sums((own**2).sum(axis=1), doc, n))
-        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) / n
-        gx = sums(g[doc][by_feature], feature[by_feature], len(kept))
-        gv = sums((g[:, None] * xv)[doc][by_feature], feature[by_feature], len(kept))
-        grads = [np.array([g.sum()]), gx + penalty * w, gv - gx[:, None] * v + penalty * v]
-        for p, d, m, s in zip(params, grads, first, second):
+        for p, d, m, s in zip(params, design.gradients(params, labels, penalty), first, second):
             m += 0.1 * (d - m)
             s += 0.001 * (d * d - s)
             p -= rate * (m / (1 - 0.9**k)) / (np.sqrt(s / (1 - 0.999**k)) + 1e-8)

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 import zlib
 
 import duckdb
@@ -335,6 +336,8 @@ def test_small_shards(rows, docs, tmp_path, monkeypatch):
 @settings(max_examples=50, deadline=None)
 @given(st.sets(st.integers(-(2**62), 2**62), max_size=300))
 def test_perfect_hash(ids):
+    with pytest.raises(ValueError):
+        mph.PerfectHash.build(np.array([5, 7, 5], np.uint64))
     keys = mph.keys_of(np.array(sorted(ids), np.int64), np.zeros(len(ids), np.int64))
     table, slots = mph.PerfectHash.build(keys)
     assert sorted(slots.tolist()) == list(range(len(ids))) and (table.find(keys) == slots).all()
@@ -452,6 +455,58 @@ def test_scores_of_held_out_documents(spark):
     assert (test[test.predicted == 1].toxic == 1).mean() > 0.9 and (test[test.toxic == 1].predicted == 1).mean() > 0.75
 
 
+def test_scores_against_sums_over_pairs(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    m = toxicity.train(docs, labels)
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall()
+    got = {r.doc_id: r.score for r in toxicity.score(docs, m).collect()}
+    weights = {int(b): (w, v) for b, w, v in zip(m.buckets, m.w, m.v)}
+    assert len(weights) > 4
+    for i, t in rows:
+        words = {x.lower() for x in re.findall(rb"[A-Za-z\x80-\xff]+", (t or "").encode())}
+        mine = [weights[b] for b in sorted({zlib.crc32(x) % toxicity.BUCKETS for x in words}) if b in weights]
+        z = m.bias + sum(w for w, _ in mine) + sum(float(a[1] @ b[1]) for k, a in enumerate(mine) for b in mine[:k])
+        assert abs(got[i] - 1 / (1 + np.exp(-z))) < 1e-9
+
+
+def test_gradients():
+    rng = np.random.default_rng(3)
+    x = (rng.random((12, 7)) < 0.4).astype(float)
+    labels, params = (rng.random(12) < 0.5).astype(float), [np.array([0.3]), rng.normal(size=7), rng.normal(size=(7, 3))]
+
+    def loss(b, w, v):
+        z = b[0] + x @ w + np.array([sum(r[i] * r[j] * (v[i] @ v[j]) for i in range(7) for j in range(i)) for r in x])
+        return np.mean(np.log1p(np.exp(z)) - labels * z) + 0.01 / 2 * ((w**2).sum() + (v**2).sum())
+
+    got = toxicity.Design(*np.nonzero(x), 12, 7).gradients(params, labels, 0.01)
+    for k, p in enumerate(params):
+        for at in np.ndindex(p.shape):
+            ends = []
+            for step in (1e-5, -1e-5):
+                moved = [q.copy() for q in params]
+                moved[k][at] += step
+                ends.append(loss(*moved))
+            assert abs((ends[0] - ends[1]) / 2e-5 - got[k][at]) < 1e-7
+
+
+def test_every_telling_term_is_kept():
+    terms, labels = [], []
+    for i in range(4000):  # 1500 terms that only toxic documents have
+        terms.append(np.array(sorted({toxicity.bucket(b"t%d" % (i * 7 % 1500 + k)) for k in range(5)}) if i % 2 else [toxicity.bucket(b"x%d" % (i % 40))], np.int32))
+        labels.append(i % 2)
+    assert len(toxicity.fit(terms, np.array(labels, float), steps=2).buckets) > 1100
+
+
+def test_long_words_are_not_remembered():
+    m = toxicity.fit([], np.zeros(0))
+    c = bytebpe.codec(RANKS, P.PATTERN)
+    for k in range(30):
+        long = b"%d" % k + b"ab" * 5000
+        m.score(long.translate(None, b"0123456789") + b"c" * k)
+        c.pieces(long.decode())
+    assert all(len(t) <= toxicity.LONG for t in m.known) and all(len(t) <= bytebpe.LONG for t in c.memo)
+
+
 def test_pairs_of_terms_weigh_together():
     rng = random.Random(2)
     terms, labels = [], []
