@@ -24,12 +24,8 @@ COMMODITIES = {
 }
 FRACTION_GLYPHS = {"0.8333": "⅚", "0.6666": "⅔", "0.3333": "⅓", "0.1666": "⅙", "0.625": "⅝", "0.75": "¾", "0.25": "¼", "0.5": "½"}
 SNAPPED_DECIMALS = ((1 / 6, "16666"), (1 / 4, "25"), (1 / 3, "33333"), (1 / 2, "5"), (2 / 3, "66666"), (3 / 4, "75"), (5 / 6, "83333"))
-GAP_FORMS = (r"<\s*gap\s*>", r"\.{3,}", r"…+", r"\[\.+\]", r"\bx\b")
-GAP_FORMS_WIDE = (
-    r"<\s*big[\s_\-]*gap\s*>", r"<\s*gap\s*>", r"\bbig[\s_\-]*gap\b", r"\bx(?:\s+x)+\b", r"\.{3,}", r"…+", r"\[\.+\]",
-    r"\[\s*x\s*\]", r"\(\s*x\s*\)", r"(?<!\w)x{2,}(?!\w)", r"(?<!\w)x(?!\w)", r"\(\s*large\s+break\s*\)",
-    r"\(\s*break\s*\)", r"\(\s*\d+\s+broken\s+lines?\s*\)",
-)
+GAP_FORMS = r"(?iU)<\s*gap\s*>|\.{3,}|…+|\[\.+\]|\bx\b"
+GAP_FORMS_WIDE = r"(?iU)<\s*big[\s_\-]*gap\s*>|<\s*gap\s*>|\bbig[\s_\-]*gap\b|\bx(?:\s+x)+\b|\.{3,}|…+|\[\.+\]|\[\s*x\s*\]|\(\s*x\s*\)|(?<!\w)x{2,}(?!\w)|(?<!\w)x(?!\w)|\(\s*large\s+break\s*\)|\(\s*break\s*\)|\(\s*\d+\s+broken\s+lines?\s*\)"
 CDLI_ID = r"(?iU)\bP\d{5,7}\b"
 PUBLICATION_REF = r"(?iU)\b(?:BM\s*\d{3,8}|[A-Z]{2,8}\s*[IVXLC0-9]{0,4}\s*\d{1,6}[A-Z]{0,2})\b"
 PROMPT_PREFIX = "translate Akkadian to English: "
@@ -151,13 +147,10 @@ def ascii_to_diacritics(c: Column | str) -> Column:
     return v
 
 
-def _one_of(forms: tuple[str, ...]) -> str:
-    return "(?iU)" + "|".join(forms)
-
-
 def unify_gaps(c: Column | str, wide: bool = False) -> Column:
     """STR-14; STR-15 with ``wide``."""
-    return _sub(_text(c), _one_of(GAP_FORMS_WIDE if wide else GAP_FORMS), GAP)
+    v = _text(c)  # most texts hold nothing that any form begins with
+    return let(v, lambda t: F.when(t.rlike(r"(?i)[<.…\[(x]|big"), _sub(t, GAP_FORMS_WIDE if wide else GAP_FORMS, GAP)).otherwise(t))
 
 
 def plain_characters(c: Column | str) -> Column:
@@ -165,12 +158,31 @@ def plain_characters(c: Column | str) -> Column:
     return F.translate(_text(c), "ḫḪ₀₁₂₃₄₅₆₇₈₉—–ʾₓ", "hH0123456789--")
 
 
+def _five_places(x: Column) -> Column:
+    """A number with five decimals, rounded as the double that it is.
+
+    ``format_string`` rounds the shortest decimal that stands for the double, half up, which is the same but where that
+    decimal ends with a 5 in the sixth place. There the double itself is held against the decimal: its product with a million
+    is taken in two exact parts, and of a true tie the even neighbour is the result. Numbers from 9e9 on have no such digits.
+    """
+    millionths = (x.cast("decimal(30,12)") * F.lit(1_000_000)).cast("decimal(38,6)")
+    n = millionths.cast("long")
+    tie = (x < 9e9) & (millionths == n) & (n % 10 == 5)
+    big = x * 134217729.0  # 2^27 + 1: the upper half of the double's digits, and the rest
+    high = big - (big - x)
+    over = (high * 1e6 - n.cast("double")) + (x - high) * 1e6
+    down = ((n - n % 10) / 10).cast("long")
+    rounded = down + F.when(over > 0, 1).when(over < 0, 0).otherwise(down % 2)
+    whole = ((rounded - rounded % 100_000) / 100_000).cast("long")
+    return F.when(tie, F.concat(whole.cast("string"), F.lit("."), F.lpad((rounded % 100_000).cast("string"), 5, "0"))).otherwise(F.format_string("%.5f", x))
+
+
 def _snapped(number: Column) -> Column:
     """The decimal text of a number: a near fraction as it is always written, else five places without final zeros."""
     x = number
     whole = F.floor(x + 1e-12)
     best = reduce(lambda a, b: F.when(F.abs(a["d"]) <= F.abs(b["d"]), a).otherwise(b), [F.struct((x - whole - F.lit(v)).alias("d"), F.lit(s).alias("s")) for v, s in SNAPPED_DECIMALS])
-    plain = _sub(F.format_string("%.5f", x), r"\.?0+$", "")
+    plain = _sub(let(x, _five_places), r"\.?0+$", "")
     return F.when(F.abs(best["d"]) <= 2e-3, F.concat(whole.cast("string"), F.lit("."), best["s"])).otherwise(plain)
 
 
@@ -211,11 +223,16 @@ def preprocess(c: Column | str, prefix: str = PROMPT_PREFIX) -> Column:
     return F.concat(F.lit(prefix), commodity_hints(v))
 
 
+def _where(c: Column, mark: str, body: Callable[[Column], Column]) -> Column:
+    """``body`` of texts that hold a mark, without which it changes nothing."""
+    return let(c, lambda t: F.when(F.contains(t, F.lit(mark)), body(t)).otherwise(t))
+
+
 def postprocess(c: Column | str) -> Column:
     """STR-19."""
-    v = _sub(_text(c), r"(?iU)\s*\[Commodities:[^\]]*\]", "")
-    v = _sub(unify_gaps(v, wide=True), r"(?U)\bPN\b", GAP)
-    v = _sub(fraction_glyphs(v), r"(?U)(?:<gap>\s*){2,}", GAP)
+    v = _where(_text(c), "[", lambda t: _sub(t, r"(?iU)\s*\[Commodities:[^\]]*\]", ""))
+    v = _where(unify_gaps(v, wide=True), "PN", lambda t: _sub(t, r"(?U)\bPN\b", GAP))
+    v = _where(_where(v, "0.", fraction_glyphs), GAP, lambda t: _sub(t, r"(?U)(?:<gap>\s*){2,}", GAP))
     v = F.replace(F.translate(F.replace(v, F.lit(GAP), F.lit("\ue000")), FORBIDDEN, ""), F.lit("\ue000"), F.lit(f" {GAP} "))
     v = _sub(v, r"(?U)\b(\w+)(?:\s+\1\b)+", "$1")
     v = _sub(_sub(v, r"(?U)\s+([.,:])", "$1"), r"([.,])\1+", "$1")

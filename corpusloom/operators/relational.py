@@ -115,23 +115,31 @@ def id_sets(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return both.agg(count("l = 1").alias("n_left"), count("r = 1").alias("n_right"), count("l = 1 AND r = 1").alias("n_both"), count("r IS NULL").alias("n_left_only"), count("l IS NULL").alias("n_right_only"))
 
 
-def seeded_split(df: DataFrame, share: float, seed: int, *key: str) -> DataFrame:
+def seeded_split(df: DataFrame, share: float, seed: int, key: str) -> DataFrame:
     """ALN-16: ``split`` is valid for about ``share`` of the rows, by a seeded hash of the key: the same rows whatever the
     partitions. With a document's id as the key no document is in both splits."""
-    place = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(1_000_000))
-    return df.withColumn("split", F.when(place < int(share * 1_000_000), "valid").otherwise("train"))
+    return df.withColumn("split", X.split_name(key, share, str(seed)))
 
 
 def length_buckets(df: DataFrame, size: Column | str, buckets: int, batch: int, key: str) -> DataFrame:
     """WIN-08, WIN-09: rows by rising size in equal buckets, the remainder in the last, and the batch within the bucket.
 
-    A global order is the feature here; sizes are ranked from counts by size and the rows of a size by key.
+    A global order is the feature here; ranks come from sorted ranges of (size, key), so that a size which very many rows
+    have is not one task's.
     """
-    sized = df.withColumn("__size", X._col(size))
-    counts = sized.groupBy("__size").agg(F.count("*").alias("__n"))
-    before = counts.withColumn("__before", F.sum("__n").over(Window.orderBy("__size")) - F.col("__n")).withColumn("__all", F.sum("__n").over(Window.partitionBy())).drop("__n")
-    nth = F.row_number().over(Window.partitionBy("__size").orderBy(key)) - 1
-    ranked = sized.withColumn("__nth", nth).join(before, "__size").withColumn("__rank", F.col("__before") + F.col("__nth"))
-    each = F.greatest(F.lit(1), F.floor(F.col("__all") / buckets))
+    ranked = row_ids(df.withColumn("__size", X._col(size)), "__rank", "__size", key)
+    each = F.greatest(F.lit(1), F.floor(ranked.agg(F.count("*")).scalar() / buckets))
     bucket = F.least(F.floor(F.col("__rank") / each), F.lit(buckets - 1))
-    return ranked.withColumn("bucket", bucket.cast("int")).withColumn("batch", F.floor((F.col("__rank") - F.col("bucket") * each) / batch).cast("int")).drop("__size", "__nth", "__before", "__all", "__rank")
+    return ranked.withColumn("bucket", bucket.cast("int")).withColumn("batch", F.floor((F.col("__rank") - F.col("bucket") * each) / batch).cast("int")).drop("__size", "__rank")
+
+
+def by_position(left: DataFrame, right: DataFrame, left_order: list[Column | str], right_order: list[Column | str]) -> DataFrame:
+    """SNK-08: the nth row of one frame beside the nth of the other, each in an explicit total order.
+
+    Frames of different lengths do not fit together, so that is an error rather than rows with nulls or rows left out.
+    """
+    a, b = row_ids(left, "__nth", *left_order), row_ids(right, "__other", *right_order)
+    n, m = left.count(), right.count()
+    if n != m:
+        raise ValueError(f"{n} rows cannot be put beside {m}")
+    return a.join(b, a["__nth"] == b["__other"]).drop("__nth", "__other")

@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import jsons as J
@@ -50,6 +50,11 @@ def check_budget(prompts: DataFrame, tokens_per_minute: int, prompt: str = "prom
     return prompts.filter(X.estimated_tokens(prompt) <= tokens_per_minute) if tokens_per_minute > 0 else prompts
 
 
+def joined(items: Column | str, most: int = 10) -> Column:
+    """AGG-15: the first items of an array as one text."""
+    return F.concat_ws(" | ", F.slice(F.coalesce(X._col(items), F.array().cast("array<string>")), 1, most))
+
+
 def silver_pairs(short: DataFrame, log: DataFrame, min_confidence: float = 0.80, min_target_chars: int = 0) -> DataFrame:
     """ALN-11, FLT-05, JOIN-11: a row for each pair of a reply that found a translation; a reply without pairs gives its
     whole translation. ``log``: input_key, raw_text. Of rows with one key in ``short`` the last by match source counts."""
@@ -64,7 +69,7 @@ def silver_pairs(short: DataFrame, log: DataFrame, min_confidence: float = 0.80,
     out = flat.select(
         "oare_id", F.when(F.col("pair.source") != "", F.col("pair.source")).otherwise(X._text("transliteration")).alias("source_transliteration"), F.col("pair.target").alias("target_translation_english"),
         F.col("pdf_name").alias("source_pdf"), F.col("page").alias("source_page"), F.col("match_source").alias("stage1_match_source"), F.col("match_confidence").alias("stage1_match_confidence"), F.col("conf").alias("stage2_confidence"),
-        F.coalesce("r.language_detected", F.lit("other")).alias("language_detected"), X._text("r.llm_opinion").alias("llm_opinion"), F.concat_ws(" | ", F.slice(F.coalesce("r.akkadian_from_page_text", F.array().cast("array<string>")), 1, 10)).alias("akkadian_from_page_text"),
+        F.coalesce("r.language_detected", F.lit("other")).alias("language_detected"), X._text("r.llm_opinion").alias("llm_opinion"), joined("r.akkadian_from_page_text").alias("akkadian_from_page_text"),
         X._text("r.evidence").alias("evidence"), X._text("r.notes").alias("notes"), "pair_index", "input_key",
     )
     return first_by(out, ["oare_id", "source_pdf", "source_page", "source_transliteration", "target_translation_english"], F.asc("input_key"), F.asc("pair_index"))

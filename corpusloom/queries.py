@@ -27,6 +27,7 @@ SPECIMENS = [
     (-1, "[KÙ.BABBAR] il₅ [x] ... ḫa"), (-2, "a-lim{ki} [ ... ] Ḫa!"), (-3, "[... ...] <qí>-bi₄"), (-4, "um-ma: A/B?"), (-5, None), (-6, ""), (-7, "  \t "),
     (-8, "see BM 12345 and CCT 4 10a, P123456 or p654321"), (-9, "p.12 Kt 93/k 145"), (-10, "sza-ru2 bi3-tim s,a-bi t,up E₂"), (-11, "x 0.33333 ma-na <gap> … [x] (x) 10.5"),
     (-12, "CCT 4|KTS 2 || BIN 6 "), (-13, "First one. Second! Third?"), (-14, "no end"), (-15, "DUMU É KÙ.BABBAR GÍN TÚG AN.NA"), (-16, "A-šùr Puzur₄-{d}UTU Ṣí-lu"), (-17, "— ʾa ḫ ₓ – 1.66666"),
+    (-18, '```JSON\n{"a": 1}\n```'), (-19, "a ``` b ```"), (-20, "``` json ```"), (-21, "0.123455 2.345675 and 7.000045"),
 ]
 
 
@@ -153,7 +154,7 @@ def _diacritics_sql(v: str) -> str:
     e = f"coalesce({v}, '')"
     for a, b in (("sz", "š"), ("SZ", "Š"), ("s,", "ṣ"), ("S,", "Ṣ"), ("t,", "ṭ"), ("T,", "Ṭ")):
         e = f"replace({e}, '{a}', '{b}')"
-    for digits, accented in (("23"[0] + "₂", "áéíúÁÉÍÚ"), ("3₃", "àèìùÀÈÌÙ")):
+    for digits, accented in (("2₂", "áéíúÁÉÍÚ"), ("3₃", "àèìùÀÈÌÙ")):
         for vowel, letter in zip("aeiuAEIU", accented):
             for d in digits:
                 e = f"replace({e}, '{vowel}{d}', '{letter}')"
@@ -201,10 +202,18 @@ def str19_prj07_pre_and_postprocess(spark, sf_dir):
     return texts(spark, sf_dir).select("id", X.preprocess("text").alias("pre"), X.or_default(X.postprocess("text"), "broken text").alias("post"))
 
 
-@query(f"SELECT id, regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '^{_WS}+|{_WS}+$', '', 'g'), '^(?i)```(json)?', ''), '```$', '') AS body FROM (SELECT id, CASE WHEN strpos(coalesce(text, ''), '`') > 0 THEN '' ELSE text END AS text FROM {TEXTS})")
+def _ends_sql(v: str) -> str:
+    return f"regexp_replace({v}, '^{_WS}+|{_WS}+$', '', 'g')"
+
+
+def _fences_sql(v: str) -> str:
+    return _ends_sql(f"regexp_replace({_ends_sql(f"regexp_replace({_ends_sql(v)}, '(?i)^```(json)?', '')")}, '```$', '')")
+
+
+@query(f"SELECT id, {_fences_sql("coalesce(text, '')")} AS body, {_fences_sql("' ```json' || chr(10) || coalesce(text, '') || '``` '")} AS fenced FROM {TEXTS}")
 def str22_strip_fences(spark, sf_dir):
-    plain = texts(spark, sf_dir).withColumn("text", F.when(F.instr("text", "`") > 0, "").otherwise(F.concat(F.lit(" ```json"), X.collapse_space_ends(X._text("text")), F.lit("``` "))))
-    return plain.select("id", X.strip_fences("text").alias("body"))
+    wrapped = F.concat(F.lit(" ```json\n"), X._text("text"), F.lit("``` "))
+    return texts(spark, sf_dir).select("id", X.strip_fences("text").alias("body"), X.strip_fences(wrapped).alias("fenced"))
 
 
 @query("SELECT id, CASE WHEN text IS NULL THEN -1 ELSE strpos(text, 'the') - 1 END::INTEGER AS first, (CASE WHEN strpos(coalesce(text, ''), 'the') = 0 THEN -1 WHEN strpos(substr(text, strpos(text, 'the') + 1), 'the') = 0 THEN -1 ELSE strpos(text, 'the') + strpos(substr(text, strpos(text, 'the') + 1), 'the') - 1 END)::INTEGER AS second FROM " + TEXTS)
@@ -253,9 +262,39 @@ def src03_lim01_capped_scan(spark, sf_dir):
     return tables.read_capped(load(spark, sf_dir, "documents").select("doc_id", "lang"), 100, "lang", "doc_id")
 
 
-@query("SELECT NULL::VARCHAR AS id, NULL::VARCHAR AS translation WHERE false")
+@query("SELECT CAST(doc_id AS VARCHAR) AS id, nullif(text, '') AS translation FROM documents")
 def src04_optional(spark, sf_dir):
-    return tables.read_optional(spark, f"{sf_dir}/no_such_file.csv", tables.SCHEMAS["sample_submission"])
+    """A file that is there and one that is not: the second adds no rows."""
+    path, schema = tables.scratch(spark, "optional"), tables.SCHEMAS["sample_submission"]
+    tables.write_csv(load(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("translation")), path)
+    return tables.read_optional(spark, path, schema).unionByName(tables.read_optional(spark, f"{path}-not-there", schema))
+
+
+@query("SELECT doc_id, lang FROM documents")
+def src05_find_file(spark, sf_dir):
+    """The file in the shallowest folder of two that hold one of that name."""
+    root, docs = tables.scratch(spark, "roots"), load(spark, sf_dir, "documents").select("doc_id", "lang")
+    docs.limit(0).write.parquet(f"{root}/a/deeper/found.parquet")
+    docs.write.parquet(f"{root}/b/found.parquet")
+    tables.touch(spark, f"{root}/a/deeper/train.csv")
+    tables.touch(spark, f"{root}/b/train.csv")
+    found = tables.find_file(spark, "train.csv", [root, f"{root}/not-there"])
+    return spark.read.parquet(f"{found.rsplit('/', 1)[0]}/found.parquet")
+
+
+@query("SELECT doc_id, lang AS language, text IS NULL AS blank FROM documents")
+def src08_columns(spark, sf_dir):
+    docs = relational.require_columns(load(spark, sf_dir, "documents"), ["doc_id", "text"])
+    return docs.select("doc_id", F.col(relational.pick_column(docs, ["language", "lang", "text"])).alias("language"), F.col(relational.pick_column(docs, ["text"])).isNull().alias("blank"))
+
+
+@query("SELECT 'A_KEY' AS name, 'from the environment' AS value UNION ALL SELECT 'B_KEY', 'quoted value' UNION ALL SELECT 'C_KEY', 'x=y'")
+def src09_environment(spark, sf_dir):
+    path = tables.scratch(spark, "env")
+    spark.createDataFrame([(x,) for x in ("# comment", "", "A_KEY=from the file", "B_KEY = 'quoted value'", "no equals sign", "C_KEY=x=y")], "value string").coalesce(1).write.text(path)
+    lines = [r.value for r in spark.read.text(path).collect()]
+    found = tables.parse_env(lines, {"A_KEY": "from the environment"})
+    return spark.createDataFrame(sorted(found.items()), "name string, value string")
 
 
 @query("SELECT conv_id, turn, text FROM conversations")
@@ -280,8 +319,18 @@ def snk03_run_history(spark, sf_dir):
     return tables.append_history(spark, path, docs.agg(F.lit("r2").alias("run"), F.count("*").alias("n_docs"), F.count_if(F.col("lang") == "en").alias("n_valid"))).select("run", "n_docs", "n_valid")
 
 
+@query("""SELECT a.item_id AS id, coalesce(nullif(trim(b.text), ''), 'unknown') AS translation FROM (SELECT item_id, row_number() OVER (ORDER BY item_id) AS n FROM benchmark) a
+JOIN (SELECT text, row_number() OVER (ORDER BY trim(text), item_id DESC) AS n FROM benchmark) b USING (n)""")
+def snk08_positional_submission(spark, sf_dir):
+    """Answers without ids, in an order of their own, beside the ids in theirs."""
+    bench = load(spark, sf_dir, "benchmark")
+    answers = bench.select(F.col("item_id").alias("of"), F.trim("text").alias("translation"))
+    out = relational.by_position(bench.select(F.col("item_id").alias("id")), answers, ["id"], ["translation", F.desc("of")])
+    return out.select("id", X.or_default(X._text("translation"), "unknown").alias("translation"))
+
+
 @query("SELECT doc_id AS id, CASE WHEN trim(text) = '' OR text IS NULL THEN 'unknown' ELSE text END AS translation FROM documents")
-def snk07_snk08_prj09_submission(spark, sf_dir):
+def snk07_prj09_submission(spark, sf_dir):
     out = load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), X.or_default(X._text("text"), "unknown").alias("translation"))
     return relational.unique_key_or_error(out, "id", ["translation"])
 
@@ -369,15 +418,15 @@ def agg03_agg04_agg05_agg06_report(spark, sf_dir):
 # ---- from documents to sentence pairs ------------------------------------------------------------------------
 
 
-def train_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = load(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", X._text("text").alias("text")))).alias("t"))
+def train_documents(spark: SparkSession, sf_dir: str, talk: DataFrame | None = None) -> DataFrame:
+    turns = (talk or load(spark, sf_dir, "conversations")).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", X._text("text").alias("text")))).alias("t"))
     text = F.array_join(F.transform("t", lambda x: x["text"]), " ")
     return turns.select(F.col("conv_id").cast("string").alias("oare_id"), text.alias("transliteration"), text.alias("translation"))
 
 
-def turn_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def turn_markers(spark: SparkSession, sf_dir: str, talk: DataFrame | None = None) -> DataFrame:
     before = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-    turns = load(spark, sf_dir, "conversations").withColumn("w", X.words("text"))
+    turns = (talk or load(spark, sf_dir, "conversations")).withColumn("w", X.words("text"))
     return turns.select(
         F.col("conv_id").cast("string").alias("text_uuid"), F.concat_ws("-", "conv_id", "turn").alias("sentence_uuid"), F.col("turn").cast("double").alias("sentence_obj_in_text"),
         (1 + F.coalesce(F.sum(F.size("w")).over(before), F.lit(0))).cast("double").alias("first_word_obj_in_text"), F.coalesce(F.get("w", F.lit(0)), F.lit("")).alias("first_word_transcription"),
@@ -446,7 +495,7 @@ def srt03_agg01_clues(spark, sf_dir):
     return found.select("text_uuid", F.array_join(F.transform("clues", lambda c: c["line_number"]), ",").alias("clues"))
 
 
-@query()
+@query(f"SELECT doc_id, CASE WHEN {s_bucket('doc_id', '42')} < 500 THEN 'valid' ELSE 'train' END AS split FROM documents")
 def aln16_seeded_split(spark, sf_dir):
     return relational.seeded_split(load(spark, sf_dir, "documents").select("doc_id"), 0.05, 42, "doc_id")
 
@@ -457,12 +506,18 @@ def dat01_run_ids(spark, sf_dir):
     return load(spark, sf_dir, "events").select("event_id", X.run_id(at).alias("run_id"))
 
 
+#: Conversations whose markers give no pair: without words, and with words of which cleaning leaves nothing.
+SILENT = [(-1, 0, "user", " "), (-1, 1, "assistant", ""), (-2, 0, "user", "!"), (-2, 1, "assistant", "[ ]"), (-2, 2, "user", "? /")]
+_SILENT_SQL = "(SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT * FROM (VALUES " + ", ".join(f"({a}, {b}, {_quote(c)}, {_quote(d)})" for a, b, c, d in SILENT) + ") v(conv_id, turn, role, text)) talk"
+
+
 @query(f"""WITH p AS ({_pairs_sql('turn > 0')})
 SELECT CAST(conv_id AS VARCHAR) AS text_uuid, conv_id * 1000 + turn AS sentence_row_id, CAST(turn AS DOUBLE) AS sentence_obj_in_text, 'alignment_not_generated' AS unmatched_reason FROM conversations WHERE turn > 0 AND conv_id * 1000 + turn NOT IN (SELECT sentence_row_id FROM p)
-UNION ALL SELECT DISTINCT CAST(conv_id AS VARCHAR), NULL, NULL, 'no_sentence_markers' FROM conversations WHERE conv_id NOT IN (SELECT conv_id FROM conversations WHERE turn > 0)""")
+UNION ALL SELECT DISTINCT CAST(conv_id AS VARCHAR), NULL, NULL, 'no_sentence_markers' FROM conversations WHERE conv_id NOT IN (SELECT conv_id FROM conversations WHERE turn > 0)""".replace("FROM conversations", f"FROM {_SILENT_SQL}"))
 def aln05_join09_set01_srt02_unmatched(spark, sf_dir):
-    docs = align.canonical_pairs(train_documents(spark, sf_dir))
-    markers = turn_markers(spark, sf_dir).filter("sentence_obj_in_text > 0")
+    talk = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(spark.createDataFrame(SILENT, "conv_id long, turn int, role string, text string"))
+    docs = align.canonical_pairs(train_documents(spark, sf_dir, talk))
+    markers = turn_markers(spark, sf_dir, talk).filter("sentence_obj_in_text > 0")
     pairs = align.sentence_pairs(docs, markers)
     return align.unmatched(docs, markers, pairs).select("text_uuid", "sentence_row_id", "sentence_obj_in_text", "unmatched_reason").orderBy("text_uuid", F.asc_nulls_last("sentence_obj_in_text"))
 
@@ -540,20 +595,29 @@ def jsn03_alignment_payload(spark, sf_dir):
     return docs.join(found, "oare_id").select("oare_id", J.alignment_payload("oare_id", "transliteration", "translation", "clues", "Align sentences.", ["Copy exactly."]).alias("payload"))
 
 
-_CATALOGUE = f"""(SELECT 'oa-' || doc_id AS oare_id, array_to_string(refs, '|') AS label, array_to_string(cdli, '|') AS cdli_id, '' AS aliases, '' AS publication_catalog, '' AS transliteration
+_CATALOGUE = f"""(SELECT 'oa-' || doc_id AS oare_id, coalesce(refs[1], '') AS label, array_to_string(cdli, '|') AS cdli_id, coalesce(refs[2], '') AS aliases, coalesce(array_to_string(refs[3:], '|'), '') AS publication_catalog, '' AS transliteration
 FROM (SELECT id AS doc_id, {s_refs('text')} AS refs, list_sort(list_distinct(list_transform(regexp_extract_all(coalesce(text, ''), '(?i)\\bP\\d{{5,7}}\\b'), lambda x: upper(x)))) AS cdli FROM {TEXTS}) WHERE len(refs) + len(cdli) > 0)"""
-_PAGES = f"(SELECT id, 'pdf ' || id AS pdf_name, CAST(id AS VARCHAR) AS page, text AS page_text, {s_refs('text')} AS refs, list_sort(list_distinct(list_transform(regexp_extract_all(coalesce(text, ''), '(?i)\\bP\\d{{5,7}}\\b'), lambda x: upper(x)))) AS cdli FROM {TEXTS})"
-_MATCHES_SQL = f"""SELECT DISTINCT pdf_name, page, oare_id, matched_cdli, match_source, match_confidence FROM (
-SELECT p.pdf_name, p.page, c.oare_id, p.k AS matched_cdli, 'page_text_cdli' AS match_source, 0.95::DOUBLE AS match_confidence FROM (SELECT *, unnest(cdli) AS k FROM {_PAGES}) p JOIN (SELECT oare_id, unnest(string_split(cdli_id, '|')) AS k FROM {_CATALOGUE}) c ON c.k = p.k
-UNION ALL SELECT p.pdf_name, p.page, c.oare_id, '', 'page_text_ref', 0.82 FROM (SELECT *, unnest(refs) AS k FROM {_PAGES}) p JOIN (SELECT oare_id, unnest(string_split(label, '|')) AS k FROM {_CATALOGUE}) c ON c.k = p.k AND length(c.k) >= 4)"""
+_CDLI = "list_sort(list_distinct(list_transform(regexp_extract_all({}, '(?i)\\bP\\d{{5,7}}\\b'), lambda x: upper(x))))"
+_PAGES = f"""(SELECT *, {s_refs('pdf_name')} AS name_refs, {_CDLI.format('pdf_name')} AS name_cdli FROM (SELECT *, 'pdf ' || id || ' ' || coalesce(refs[1], '') || ' ' || coalesce(cdli[1], '') AS pdf_name
+FROM (SELECT id, CAST(id AS VARCHAR) AS page, {s_refs('text')} AS refs, {_CDLI.format("coalesce(text, '')")} AS cdli FROM {TEXTS} WHERE id <> -9)))"""
+_BY_CDLI = f"(SELECT oare_id, unnest(string_split(cdli_id, '|')) AS k FROM {_CATALOGUE})"
+_BY_REF = f"(SELECT oare_id, unnest(string_split(label || '|' || aliases || '|' || publication_catalog, '|')) AS k FROM {_CATALOGUE})"
+_MATCHES_SQL = "SELECT DISTINCT pdf_name, page, oare_id, matched_cdli, match_source, match_confidence FROM (" + " UNION ALL ".join(
+    f"SELECT p.pdf_name, p.page, c.oare_id, {'p.k' if by == _BY_CDLI else chr(39) * 2} AS matched_cdli, '{tier}' AS match_source, {score}::DOUBLE AS match_confidence FROM (SELECT *, unnest({keys}) AS k FROM {_PAGES}) p JOIN {by} c ON c.k = p.k AND length(c.k) >= 4"
+    for tier, score, keys, by in (("page_text_cdli", 0.95, "cdli", _BY_CDLI), ("pdf_name_cdli", 0.70, "name_cdli", _BY_CDLI), ("page_text_ref", 0.82, "refs", _BY_REF), ("pdf_name_ref", 0.76, "name_refs", _BY_REF))
+) + ")"
 
 
 def catalogue(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Pages, and a catalogue with a record for every page that names an identifier."""
-    rows = texts(spark, sf_dir)
-    pages = rows.select(F.concat(F.lit("pdf "), "id").alias("pdf_name"), F.col("id").cast("string").alias("page"), F.col("text").alias("page_text"), F.lit(" True ").alias("has_akkadian"))
-    named = rows.select("id", X.publication_refs("text").alias("refs"), X.cdli_ids("text").alias("cdli")).filter("size(refs) + size(cdli) > 0")
-    published = named.select(F.concat(F.lit("oa-"), "id").alias("oare_id"), F.array_join("cdli", "|").alias("cdli_id"), F.array_join("refs", "|").alias("label"), F.lit("").alias("aliases"), F.lit("").alias("publication_catalog"), F.lit("").alias("transliteration"))
+    """Pages whose files are named after their first identifiers, and a catalogue with a record for every page that names one, under a label, an alias and catalogue numbers."""
+    rows = texts(spark, sf_dir).withColumn("refs", X.publication_refs("text")).withColumn("cdli", X.cdli_ids("text"))
+    at = lambda c, k: F.coalesce(F.get(c, F.lit(k)), F.lit(""))
+    name = F.concat_ws(" ", F.lit("pdf"), F.col("id").cast("string"), at("refs", 0), at("cdli", 0))
+    pages = rows.select(name.alias("pdf_name"), F.col("id").cast("string").alias("page"), F.col("text").alias("page_text"), F.when(F.col("id") == -9, "False").otherwise(" True ").alias("has_akkadian"))
+    published = rows.filter("size(refs) + size(cdli) > 0").select(
+        F.concat(F.lit("oa-"), "id").alias("oare_id"), F.array_join("cdli", "|").alias("cdli_id"), at("refs", 0).alias("label"), at("refs", 1).alias("aliases"),
+        F.array_join(F.slice("refs", 3, 1_000_000), "|").alias("publication_catalog"), F.lit("").alias("transliteration"),
+    )
     return pages, published
 
 
@@ -609,16 +673,40 @@ def aln11_flt05_join11_jsn02_jsn05_silver_pairs(spark, sf_dir):
     return pipelines.silver(*stage_two(spark, sf_dir)).select("oare_id", "source_transliteration", "target_translation_english", "stage2_confidence", "pair_index")
 
 
-_MERGE_SQL = f"""SELECT source, target, provenance FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY rank, target) AS k FROM (
-SELECT {s_space('text')} AS source, {s_space('text')} AS target, 'documents' AS provenance, 0 AS rank FROM documents
-UNION ALL SELECT {s_space('text')}, {s_space('role')} || ' says', 'turns', 1 FROM conversations) WHERE len({s_words('source')}) BETWEEN 2 AND 300 AND len({s_words('target')}) BETWEEN 2 AND 300) WHERE k = 1"""
+@query(f"SELECT conv_id, string_agg({s_space("coalesce(role, '')")}, ' | ' ORDER BY turn) AS roles FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations) WHERE k <= 10 GROUP BY conv_id")
+def agg15_joined_list(spark, sf_dir):
+    turns = load(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", X.collapse_space("role").alias("role")))).alias("t"))
+    return turns.select("conv_id", responses.joined(F.transform("t", lambda x: x["role"])).alias("roles"))
+
+
+@query("""SELECT CAST(conv_id AS VARCHAR) AS oare_id, CAST(sum(CASE WHEN length(trim(coalesce(text, ''), ' \t\n\r')) >= 200 THEN 1 ELSE 0 END) AS BIGINT) AS n_long
+FROM (SELECT *, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations) WHERE n >= 4 GROUP BY conv_id HAVING n_long > 0""")
+def flt10_target_length(spark, sf_dir):
+    """Silver pairs whose target has 200 characters or more."""
+    short, log = stage_two(spark, sf_dir)
+    found = pipelines.silver(short, log.filter("raw_text LIKE 'Answer%'"), pipelines.ReplyOptions(min_target_chars=200))
+    turns = load(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("oare_id"), X.collapse_space_ends(X._text("text")).alias("target_translation_english"))
+    return turns.join(found.select("oare_id", "target_translation_english").distinct(), ["oare_id", "target_translation_english"]).groupBy("oare_id").agg(F.count("*").alias("n_long"))
+
+
+_MERGE_SQL = f"""WITH published AS (SELECT CAST(conv_id AS VARCHAR) AS oare_id, string_agg(coalesce(text, ''), ' ' ORDER BY turn) AS transliteration, CASE WHEN count(*) >= 3 THEN max(role) || ' speaks last' END AS answer FROM conversations GROUP BY conv_id)
+SELECT source, target, provenance FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY rank, target) AS k FROM (
+SELECT {s_space('transliteration')} AS source, {s_space('answer')} AS target, 'published' AS provenance, 0 AS rank FROM published WHERE {s_space('transliteration')} <> '' AND {s_space('answer')} <> ''
+UNION ALL SELECT {s_space('transliteration')}, {s_space('text')}, 'markers', 1 FROM published JOIN conversations ON oare_id = CAST(conv_id AS VARCHAR) WHERE {s_space('transliteration')} <> '' AND {s_space('text')} <> ''
+UNION ALL SELECT {s_space('d.text')}, {s_space('b.text')}, 'sample', 2 FROM documents d JOIN benchmark b ON d.doc_id = b.item_id WHERE d.text IS NOT NULL AND b.text IS NOT NULL
+UNION ALL SELECT {s_space('lang || chr(10) || source')}, {s_space('substr(text, 1, 200)')}, 'first_words', 3 FROM documents WHERE text IS NOT NULL AND length(lang || ' ' || source) > 2)
+WHERE len({s_words('source')}) BETWEEN 2 AND 300 AND len({s_words('target')}) BETWEEN 2 AND 300) WHERE k = 1"""
 
 
 @query(_MERGE_SQL)
 def aln12_set02_join03_merge_sources(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents").select(F.col("text").alias("source"), F.col("text").alias("target"))
-    turns = load(spark, sf_dir, "conversations").select(F.col("text").alias("source"), F.concat("role", F.lit(" says")).alias("target"))
-    return corpus.merge_sources(documents=docs, turns=turns)
+    """All four sources: conversations are the published texts and their markers, documents and benchmark the test and its answers."""
+    last = load(spark, sf_dir, "conversations").groupBy(F.col("conv_id").cast("string").alias("oare_id")).agg(F.when(F.count("*") >= 3, F.concat(F.max("role"), F.lit(" speaks last"))).alias("AICC_translation"))
+    published = train_documents(spark, sf_dir).select("oare_id", "transliteration").join(last, "oare_id")
+    docs = load(spark, sf_dir, "documents")
+    test, sample = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("transliteration")), load(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("translation"))
+    words = docs.select(F.concat("lang", F.lit("\n"), "source").alias("first_word_transcription"), F.substring("text", 1, 200).alias("translation"))
+    return corpus.merge_sources(published=corpus.published_pairs(published), markers=corpus.marker_pairs(turn_markers(spark, sf_dir), published), sample=corpus.sample_pairs(test, sample), first_words=corpus.first_word_pairs(words))
 
 
 # ---- similarity, metrics, selection --------------------------------------------------------------------------
@@ -777,9 +865,9 @@ def _mbr_sql(score: Callable[[str], str], column: str, cap: int, drop_blanks: bo
     unique = f"""(SELECT id, text, k FROM (SELECT id, text, row_number() OVER (PARTITION BY id ORDER BY min(r)) - 1 AS k FROM (SELECT conv_id AS id, {text} AS text, row_number() OVER (PARTITION BY conv_id ORDER BY role, turn) AS r FROM conversations)
 {"WHERE text <> ''" if drop_blanks else ""} GROUP BY id, text) WHERE k < {cap})"""
     pairs = f"(SELECT (a.id * 1000 + a.k) * 1000 + b.k AS id, a.text AS hyp, b.text AS ref FROM {unique} a JOIN {unique} b ON a.id = b.id AND a.k <> b.k)"
-    return f"""SELECT c.id, text, c.n AS candidates, n.n AS unique_candidates FROM (SELECT conv_id AS id, count(*)::INTEGER AS n FROM conversations GROUP BY conv_id) c
+    return f"""SELECT c.id, text, c.n AS candidates, n.n AS unique_candidates, round(best, 4) AS best, round(best - second, 4) AS margin FROM (SELECT conv_id AS id, count(*)::INTEGER AS n FROM conversations GROUP BY conv_id) c
 JOIN (SELECT id, count(*)::INTEGER AS n FROM {unique} GROUP BY id) n ON n.id = c.id
-JOIN (SELECT u.id, text, row_number() OVER (PARTITION BY u.id ORDER BY round(coalesce(s, 0), 6) DESC, u.k) AS place FROM {unique} u LEFT JOIN
+JOIN (SELECT u.id, text, round(coalesce(s, 0), 6) AS best, lead(round(coalesce(s, 0), 6)) OVER (PARTITION BY u.id ORDER BY round(coalesce(s, 0), 6) DESC, u.k) AS second, row_number() OVER (PARTITION BY u.id ORDER BY round(coalesce(s, 0), 6) DESC, u.k) AS place FROM {unique} u LEFT JOIN
 (SELECT id // 1000000 AS id, id // 1000 % 1000 AS k, avg(round({column}, 9)) AS s FROM ({score(pairs)}) GROUP BY ALL) z ON z.id = u.id AND z.k = u.k) b ON b.id = c.id AND place = 1"""
 
 
@@ -789,12 +877,12 @@ def _geo_sql(pairs: str) -> str:
 
 @query(_mbr_sql(lambda pairs: chrf_sql(pairs, 9), "chrf", 40, False))
 def sim10_sim12_join14_agg12_mbr_chrf(spark, sf_dir):
-    return select.mbr_chrf(turn_pools(spark, sf_dir)).select("id", "text", "candidates", "unique_candidates")
+    return select.mbr_chrf(turn_pools(spark, sf_dir)).select("id", "text", "candidates", "unique_candidates", F.round("best", 4).alias("best"), F.round("margin", 4).alias("margin"))
 
 
 @query(_mbr_sql(_geo_sql, "geo", 48, True))
 def sim11_set05_lim02_mbr_geo(spark, sf_dir):
-    return select.mbr_geo(turn_pools(spark, sf_dir)).select("id", "text", "candidates", "unique_candidates")
+    return select.mbr_geo(turn_pools(spark, sf_dir)).select("id", "text", "candidates", "unique_candidates", F.round("best", 4).alias("best"), F.round("margin", 4).alias("margin"))
 
 
 # ---- streams -------------------------------------------------------------------------------------------------

@@ -30,10 +30,12 @@ def _fs(spark: SparkSession, path: str):
 
 
 def scratch(spark: SparkSession, kind: str) -> str:
-    """A fresh path in the folder that ``spark.checkpoint.dir`` names, which all executors share (a local one where it is
-    unset, for tests); removed when the JVM ends."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """A fresh path in the folder that ``spark.checkpoint.dir`` names, which all executors share (in local mode a folder of
+    its own where it is unset, for tests); removed when the JVM ends."""
+    base, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
     if not base:
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='corpusloom-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
@@ -92,16 +94,29 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
 
 
-def read_env(path: str | None = None, environ: dict[str, str] | None = None) -> dict[str, str]:
-    """SRC-09: NAME=value lines of a file, overruled by the environment; quotes around values, comments and blank lines go."""
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, with the folders above it."""
+    at, fs = _fs(spark, path)
+    fs.create(at).close()
+
+
+def parse_env(lines: list[str], environ: dict[str, str] | None = None) -> dict[str, str]:
+    """SRC-09: NAME=value lines, overruled by the environment; quotes around values, comments and blank lines go."""
     found: dict[str, str] = {}
+    for line in map(str.strip, lines):
+        name, eq, value = line.partition("=")
+        if eq and not line.startswith("#"):
+            found[name.strip()] = value.strip().strip("\"'")
+    return found | dict(os.environ if environ is None else environ)
+
+
+def read_env(path: str | None = None, environ: dict[str, str] | None = None) -> dict[str, str]:
+    """SRC-09 from a file on the driver's machine, if it is there."""
+    lines: list[str] = []
     if path and os.path.exists(path):
         with open(path, encoding="utf-8") as f:
-            for line in map(str.strip, f):
-                name, eq, value = line.partition("=")
-                if eq and not line.startswith("#"):
-                    found[name.strip()] = value.strip().strip("\"'")
-    return found | dict(os.environ if environ is None else environ)
+            lines = f.readlines()
+    return parse_env(lines, environ)
 
 
 def done_keys(spark: SparkSession, path: str, key: str = "input_key", only_parsed: bool = True) -> DataFrame:
