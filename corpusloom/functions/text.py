@@ -14,6 +14,16 @@ from pyspark.sql import functions as F
 
 SPACE = r"(?U)[\s\x1c-\x1f]"
 
+
+def _with_words(pattern: str) -> str:
+    """A pattern in which word characters are letters, numbers of any kind (fractions and subscripts too) and the
+    underscore, as the domain's rules have them; the regular expressions here would leave those numbers out."""
+    word, inside = r"[\p{L}\p{N}_]", r"\p{L}\p{N}_"
+    edge = f"(?:(?<={word})(?!{word})|(?<!{word})(?={word}))"
+    return pattern.replace(r"[\w", f"[{inside}").replace(r"\w", word).replace(r"\b", edge)
+
+
+
 # Characters and marks of the transliteration scheme.
 SUBSCRIPTS = ("₀₁₂₃₄₅₆₇₈₉ₓ", "0123456789x")
 GAP, BIG_GAP = "<gap>", "<big_gap>"
@@ -24,10 +34,10 @@ COMMODITIES = {
 }
 FRACTION_GLYPHS = {"0.8333": "⅚", "0.6666": "⅔", "0.3333": "⅓", "0.1666": "⅙", "0.625": "⅝", "0.75": "¾", "0.25": "¼", "0.5": "½"}
 SNAPPED_DECIMALS = ((1 / 6, "16666"), (1 / 4, "25"), (1 / 3, "33333"), (1 / 2, "5"), (2 / 3, "66666"), (3 / 4, "75"), (5 / 6, "83333"))
-GAP_FORMS = r"(?iU)<\s*gap\s*>|\.{3,}|…+|\[\.+\]|\bx\b"
-GAP_FORMS_WIDE = r"(?iU)<\s*big[\s_\-]*gap\s*>|<\s*gap\s*>|\bbig[\s_\-]*gap\b|\bx(?:\s+x)+\b|\.{3,}|…+|\[\.+\]|\[\s*x\s*\]|\(\s*x\s*\)|(?<!\w)x{2,}(?!\w)|(?<!\w)x(?!\w)|\(\s*large\s+break\s*\)|\(\s*break\s*\)|\(\s*\d+\s+broken\s+lines?\s*\)"
-CDLI_ID = r"(?iU)\bP\d{5,7}\b"
-PUBLICATION_REF = r"(?iU)\b(?:BM\s*\d{3,8}|[A-Z]{2,8}\s*[IVXLC0-9]{0,4}\s*\d{1,6}[A-Z]{0,2})\b"
+GAP_FORMS = _with_words(r"(?iU)<\s*gap\s*>|\.{3,}|…+|\[\.+\]|\bx\b")
+GAP_FORMS_WIDE = _with_words(r"(?iU)<\s*big[\s_\-]*gap\s*>|<\s*gap\s*>|\bbig[\s_\-]*gap\b|\bx(?:\s+x)+\b|\.{3,}|…+|\[\.+\]|\[\s*x\s*\]|\(\s*x\s*\)|(?<!\w)x{2,}(?!\w)|(?<!\w)x(?!\w)|\(\s*large\s+break\s*\)|\(\s*break\s*\)|\(\s*\d+\s+broken\s+lines?\s*\)")
+CDLI_ID = _with_words(r"(?iU)\bP\d{5,7}\b")
+PUBLICATION_REF = _with_words(r"(?iU)\b(?:BM\s*\d{3,8}|[A-Z]{2,8}\s*[IVXLC0-9]{0,4}\s*\d{1,6}[A-Z]{0,2})\b")
 PROMPT_PREFIX = "translate Akkadian to English: "
 FORBIDDEN = "()——<>⌈⌋⌊[]+ʾ;"
 
@@ -191,7 +201,7 @@ def snap_decimals(c: Column | str) -> Column:
 
     The text is cut at the numbers, so any number of matches is handled in one pass of array functions.
     """
-    pattern = r"(?U)(?<![\w/])\d+\.\d{4,}(?![\w/])"
+    pattern = _with_words(r"(?U)(?<![\w/])\d+\.\d{4,}(?![\w/])")
 
     def rewrite(text: Column) -> Column:
         found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda x: let(x.cast("double"), _snapped))
@@ -231,10 +241,10 @@ def _where(c: Column, mark: str, body: Callable[[Column], Column]) -> Column:
 def postprocess(c: Column | str) -> Column:
     """STR-19."""
     v = _where(_text(c), "[", lambda t: _sub(t, r"(?iU)\s*\[Commodities:[^\]]*\]", ""))
-    v = _where(unify_gaps(v, wide=True), "PN", lambda t: _sub(t, r"(?U)\bPN\b", GAP))
+    v = _where(unify_gaps(v, wide=True), "PN", lambda t: _sub(t, _with_words(r"(?U)\bPN\b"), GAP))
     v = _where(_where(v, "0.", fraction_glyphs), GAP, lambda t: _sub(t, r"(?U)(?:<gap>\s*){2,}", GAP))
     v = F.replace(F.translate(F.replace(v, F.lit(GAP), F.lit("\ue000")), FORBIDDEN, ""), F.lit("\ue000"), F.lit(f" {GAP} "))
-    v = _sub(v, r"(?U)\b(\w+)(?:\s+\1\b)+", "$1")
+    v = _sub(v, _with_words(r"(?U)\b(\w+)(?:\s+\1\b)+"), "$1")
     v = _sub(_sub(v, r"(?U)\s+([.,:])", "$1"), r"([.,])\1+", "$1")
     return collapse_space(v)
 
