@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -21,18 +22,49 @@ def backoff(attempt: int, most: float = 8.0) -> float:
     return min(2.0**attempt, most)
 
 
-def call_model(prompts: DataFrame, client: Callable[[str], str], retries: int = 3, wait: Callable[[int], float] = backoff, key: str = "input_key", prompt: str = "prompt") -> DataFrame:
+class Limiter:
+    """STM-03 as control: lets a call through when the minute before it has room for it and its tokens; 0 is no limit."""
+
+    def __init__(self, requests: int = 0, tokens: int = 0, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+        self.requests, self.tokens, self.clock, self.sleep = requests, tokens, clock, sleep
+        self.calls: deque[tuple[float, int]] = deque()
+
+    def admit(self, tokens: int) -> None:
+        if self.tokens and tokens > self.tokens:
+            raise ValueError(f"{tokens} tokens are more than a minute's {self.tokens}")
+        while True:
+            now = self.clock()
+            while self.calls and self.calls[0][0] <= now - 60:
+                self.calls.popleft()
+            if (not self.requests or len(self.calls) < self.requests) and (not self.tokens or sum(n for _, n in self.calls) + tokens <= self.tokens):
+                self.calls.append((now, tokens))
+                return
+            self.sleep(max(0.01, self.calls[0][0] + 60 - now))
+
+
+def call_model(
+    prompts: DataFrame, client: Callable[[str], str], retries: int = 3, wait: Callable[[int], float] = backoff, key: str = "input_key", prompt: str = "prompt", requests_per_minute: int = 0, tokens_per_minute: int = 0, callers: int = 1
+) -> DataFrame:
     """SRC-10: a log row for each prompt. ``client`` is any picklable function from prompt to reply; an exception is a
     failed attempt. A row's error is that of its last attempt, and empty when that succeeded. Write the result before
-    using it twice: it is computed again whenever it is read."""
+    using it twice: it is computed again whenever it is read.
+
+    With limits the prompts are dealt out to ``callers`` tasks, each of which keeps within its share of a minute's requests
+    and estimated tokens, retries included. Too many callers for the limits are an error."""
+    limited = requests_per_minute > 0 or tokens_per_minute > 0
+    shares = (requests_per_minute // callers, tokens_per_minute // callers)
+    if limited and (requests_per_minute > 0 and not shares[0] or tokens_per_minute > 0 and not shares[1]):
+        raise ValueError(f"{callers} callers are too many for {requests_per_minute} requests and {tokens_per_minute} tokens a minute")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        limiter = Limiter(*shares)
         for frame in frames:
             rows = []
             for k, p in zip(frame[key], frame[prompt]):
                 began, raw, error = time.monotonic(), "", ""
                 for attempt in range(1, retries + 1):
                     try:
+                        limiter.admit(max(1, len(p) // 4))
                         raw, error = client(p), ""
                         break
                     except Exception as e:  # noqa: BLE001  any failure of the service
@@ -42,7 +74,8 @@ def call_model(prompts: DataFrame, client: Callable[[str], str], retries: int =
                 rows.append((k, raw, error, attempt, int((time.monotonic() - began) * 1000)))
             yield pd.DataFrame(rows, columns=["input_key", "raw_text", "error", "attempts", "elapsed_ms"])
 
-    return prompts.select(key, prompt).mapInPandas(run, LOG)
+    asked = prompts.select(key, prompt)
+    return (asked.repartition(callers) if limited else asked).mapInPandas(run, LOG)
 
 
 def check_budget(prompts: DataFrame, tokens_per_minute: int, prompt: str = "prompt") -> DataFrame:

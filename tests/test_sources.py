@@ -144,6 +144,63 @@ def test_programs_on_files(spark, tmp_path):
     assert [(r.oare_id, r.page_text) for r in spark.read.parquet(f"file://{tmp_path}/out/shortlist").collect()] == [("o1", "see KTS 12 end")]
 
 
+def echo_alignment(prompt):
+    """A model that pairs the first words on both sides and leaves the rest over, once."""
+    import json
+
+    doc = json.loads(prompt)["document"]
+    source, target = doc["full_transliteration"].split(), doc["full_translation"].split()
+    rest = [" ".join(x[1:]) for x in (source, target)]
+    return json.dumps({"oare_id": doc["oare_id"], "pairs": [{"source_sentence": source[0], "target_sentence": target[0], "confidence": "0.9"}], "leftover_source_text": rest[0], "leftover_target_text": rest[1]})
+
+
+def echo_page(prompt):
+    if "page 2" in prompt:
+        raise RuntimeError("no answer")
+    return '{"found": true, "confidence": 0.95, "translation_english": "a long translation"}'
+
+
+def test_programs_that_call_a_model(spark, tmp_path):
+    from corpusloom.__main__ import main
+
+    src, out = tmp_path / "in", f"file://{tmp_path}/out"
+    src.mkdir()
+    (src / "train.csv").write_text('oare_id,transliteration,translation\nd1,a-na um-ma x,To Say y\nd2,qí-bi,Speak\nd3,no markers,None here\n')
+    (src / "sentence_markers.csv").write_text("text_uuid,sentence_uuid,sentence_obj_in_text,first_word_obj_in_text,first_word_transcription,line_number,translation\nd1,s1,1,1,a-na,1,To\nd2,s2,1,1,qí-bi,1,Speak\n")
+    run = ["align", "--input", f"file://{src}", "--output", out, "--client", "test_sources:echo_alignment", "--max-docs", "1"]
+    main(run, spark)
+    pairs = lambda: sorted((r.oare_id, r.alignment_pass, r.source_sentence_raw) for r in spark.read.parquet(f"{out}/pairs").collect())
+    assert pairs() == [("d1", "first", "a-na"), ("d1", "second", "um-ma")]
+    main(run, spark)  # the next document
+    main([*run, "--no-second-pass"], spark)  # none is left
+    assert pairs()[2:] == [("d2", "first", "qí-bi")] and spark.read.parquet(f"{out}/history").count() == 2
+    short = spark.createDataFrame([("f", "1", "o1", "page_text_ref", 0.82, "a-na", "text"), ("f", "2", "o1", "page_text_ref", 0.82, "a-na", "text")], "pdf_name string, page string, oare_id string, match_source string, match_confidence double, transliteration string, page_text string")
+    short.write.parquet(f"{out}/short")
+    read = ["read", "--shortlist", f"{out}/short", "--output", f"{out}/read", "--client", "test_sources:echo_page", "--retries", "1", "--callers", "2"]
+    main(read, spark)
+    main(read, spark)  # sends only the page that failed
+    log = tables.read_jsonl(spark, f"{out}/read/calls", responses.LOG).collect()
+    assert sorted((r.input_key, r.error) for r in log) == [("f||1||o1", ""), ("f||2||o1", "no answer"), ("f||2||o1", "no answer")]
+    assert [r.target_translation_english for r in spark.read.parquet(f"{out}/read/silver").collect()] == ["a long translation"]
+
+
+def test_limiter():
+    now, slept = [0.0], []
+
+    def sleep(s):
+        slept.append(round(s))
+        now[0] += s
+
+    limit = responses.Limiter(2, 100, lambda: now[0], sleep)
+    for tokens in (40, 40, 10, 95):
+        limit.admit(tokens)
+    assert slept == [60, 60] and now[0] == 120
+    with pytest.raises(ValueError):
+        limit.admit(101)
+    with pytest.raises(ValueError):
+        responses.call_model(None, echo_page, requests_per_minute=3, callers=4)
+
+
 def test_seeded_split_is_stable(spark):
     df = spark.range(2000)
     one = {r.id: r.split for r in relational.seeded_split(df, 0.05, 42, "id").collect()}
