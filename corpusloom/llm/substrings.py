@@ -15,10 +15,11 @@ with a smaller doc_id. Work on all windows would shuffle a row a word, so window
 4. Documents drop the words that spans of repeated windows cover.
 
 Phrases in more than ``HOT_ROWS`` documents are *hot*, which tasks know from a second filter. Their passages are not dealt
-out by phrase: the task that has them compiles the automaton of their phrases, and the windows that it locates become rows
-of 128-bit digests, whose first documents are found with map-side combining and handed back by a join that adaptive
-execution can split. So a passage that a third of all documents share is no single task's work, and a cold phrase that the
-filter takes for hot has the same result.
+out by phrase. Equal ones form a class, known by 128 bits: the passages of all but its first document go whole. For one of
+each class, the task that has it compiles the automaton of its phrases, and the windows that it locates become rows of
+128-bit digests, whose first documents are found with map-side combining and handed back by a join that adaptive execution
+can split. So a passage that a third of all documents share is no single task's work, and a cold phrase that the filter
+takes for hot has the same result.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from .common import as_docs, materialise, numbered, place_of, rows_of, slices, s
 WINDOW, PHRASE = 50, 10
 SPAN = WINDOW - PHRASE + 1  # phrases in a window
 FILTER_BITS = 1 << 27
-HOT_ROWS = 400
+HOT_ROWS = 2_000
 #: Words of the passages for which one automaton is compiled, and windows of a text that are looked at together.
 SHARD_WORDS, SLAB = 400_000, 1 << 18
 #: Bytes of passages in one batch of rows.
@@ -50,10 +51,10 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 PHRASES = pa.schema([("phrase", pa.int64()), ("doc_id", pa.int64())])
-FOUND = pa.schema([("phrase", pa.int64()), ("hot", pa.bool_()), ("doc_id", pa.int64()), ("digest", pa.int64()), ("at", pa.int32()), ("place", pa.int32()), ("passage", pa.binary())])
+FOUND = pa.schema([("phrase", pa.int64()), ("hot", pa.bool_()), ("doc_id", pa.int64()), ("digest", pa.int64()), ("at", pa.int32()), ("place", pa.int32()), ("n_words", pa.int32()), ("passage", pa.binary())])
 WINDOWS = pa.schema([("key", pa.binary()), ("doc_id", pa.int64()), ("digest", pa.int64()), ("at", pa.int32())])
 SPANS = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
-FOUND_DDL = "phrase long, hot boolean, doc_id long, digest long, at int, place int, passage binary"
+FOUND_DDL = "phrase long, hot boolean, doc_id long, digest long, at int, place int, n_words int, passage binary"
 
 
 def _powers(base: np.uint64) -> np.ndarray:
@@ -160,7 +161,7 @@ def _passages(batches, bloom: np.ndarray, hot_bloom: np.ndarray | None):
                     for c in range(a, b, WINDOW):
                         e = min(b, c + WINDOW)
                         passage = b" ".join(words[c : e + WINDOW - 1])
-                        rows.append((int(phrase.view(np.int64)), hot, i, digest, start + c, int(np.argmax(grams[c : e + SPAN - 1] == phrase)), passage))
+                        rows.append((int(phrase.view(np.int64)), hot, i, digest, start + c, int(np.argmax(grams[c : e + SPAN - 1] == phrase)), e - c + WINDOW - 1, passage))
                         size += len(passage)
                         if size >= BATCH:
                             yield batch(rows)
@@ -274,11 +275,18 @@ def _hot_windows(batches):
 
 
 def _hot_spans(found: DataFrame) -> DataFrame:
-    windows = found.mapInArrow(_hot_windows, "key binary, doc_id long, digest long, at int")
+    """Equal passages are a class: all but those of its first document go whole, and only the first one's windows are compared with other classes'."""
+    known = found.withColumn("copy", F.unhex(F.md5("passage")))
+    classes = known.groupBy("copy").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).filter("first_doc < last_doc")
+    classes = materialise(classes.select("copy", "first_doc"), "classes").hint("merge")
+    later = known.select("copy", "doc_id", "digest", "at", "n_words").join(classes, "copy").filter("doc_id > first_doc")
+    whole = later.select("doc_id", "digest", F.col("at").alias("first"), (F.col("at") + F.col("n_words")).alias("last"))
+    reps = known.join(classes, "copy", "left").filter("first_doc IS NULL OR doc_id = first_doc").select("phrase", "doc_id", "digest", "at", "place", "passage")
+    windows = materialise(reps.mapInArrow(_hot_windows, "key binary, doc_id long, digest long, at int"), "windows")
     first = windows.groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).filter("first_doc < last_doc")
     first = materialise(first, "first")  # so that both sides of the join are plain shuffles, which can be split where a window is hot
     again = windows.join(first.hint("merge"), "key").filter("doc_id > first_doc")
-    return again.select("doc_id", "digest", F.col("at").alias("first"), (F.col("at") + WINDOW).alias("last"))
+    return whole.unionByName(again.select("doc_id", "digest", F.col("at").alias("first"), (F.col("at") + WINDOW).alias("last")))
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
