@@ -38,3 +38,8 @@ def merge_sources(low: int = 2, high: int = 300, **sources: DataFrame) -> DataFr
     tagged = [df.select("source", "target").withColumn("provenance", F.lit(n)).withColumn("__rank", F.lit(k)) for k, (n, df) in enumerate(sources.items())]
     rows = reduce(DataFrame.unionByName, tagged).withColumn("source", X.collapse_space("source")).withColumn("target", X.collapse_space("target"))
     return first_by(length_window(rows, ["source", "target"], low, high), ["source"], F.asc("__rank"), F.asc("target")).drop("__rank")
+
+
+def split_frames(pairs: DataFrame, column: str = "split", names: tuple[str, ...] = ("train", "valid")) -> dict[str, DataFrame]:
+    """ALN-13, FLT-01: a frame for each split, without the column. Rows of other splits, or of none, are in no frame."""
+    return {n: pairs.filter(F.col(column) == n).drop(column) for n in names}

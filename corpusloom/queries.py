@@ -709,6 +709,13 @@ def aln12_set02_join03_merge_sources(spark, sf_dir):
     return corpus.merge_sources(published=corpus.published_pairs(published), markers=corpus.marker_pairs(turn_markers(spark, sf_dir), published), sample=corpus.sample_pairs(test, sample), first_words=corpus.first_word_pairs(words))
 
 
+@query(f"SELECT doc_id, CASE WHEN {s_bucket('doc_id', 'deep_past_split_v1')} < 1000 THEN 2 ELSE 1 END AS frame FROM documents")
+def aln13_split_frames(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents").select("doc_id", X.split_name("doc_id", 0.1, "deep_past_split_v1").alias("split"))
+    frames = corpus.split_frames(docs)
+    return frames["train"].withColumn("frame", F.lit(1)).unionByName(frames["valid"].withColumn("frame", F.lit(2)))
+
+
 # ---- similarity, metrics, selection --------------------------------------------------------------------------
 
 
