@@ -177,10 +177,11 @@ def tokenize_13a(c: Column | str) -> Column:
     return X.words(F.regexp_replace(v, r"([0-9])(-)", "$1 $2 "))
 
 
-def corpus_bleu(pairs: DataFrame) -> DataFrame:
-    """SIM-07: one row: four orders summed over the corpus; the kth order without hits counts as 1 / 2^k of a hit."""
-    kinds = [str(n) for n in range(1, 5)]
-    w = _wide(overlaps(pairs, {k: (tokenize_13a, int(k), False) for k in kinds}), kinds)
+def token_grams(orders: int = 4) -> Grams:
+    return {str(n): (tokenize_13a, n, False) for n in range(1, orders + 1)}
+
+
+def _bleu_score(kinds: list[str]) -> Column:
     logs, zeros, empty = F.lit(0.0), F.lit(0), F.lit(False)
     for k in kinds:
         hit, total = F.col(f"hit_{k}"), F.col(f"n_hyp_{k}")
@@ -188,10 +189,18 @@ def corpus_bleu(pairs: DataFrame) -> DataFrame:
         logs = logs + F.log(F.when(hit > 0, hit / F.greatest(total, F.lit(1))).otherwise(1 / (F.pow(F.lit(2.0), zeros) * F.greatest(total, F.lit(1)))))
         empty = empty | (F.coalesce(total, F.lit(0)) == 0)
     brevity = F.when(F.col("n_hyp_1") >= F.col("n_ref_1"), 1.0).otherwise(F.exp(1 - F.col("n_ref_1") / F.greatest(F.col("n_hyp_1"), F.lit(1))))
-    return w.select(F.when(empty | (F.col("hit_1") == 0), 0.0).otherwise(100 * brevity * F.exp(logs / 4)).alias("bleu"))
+    return F.when(empty | (F.col("hit_1") == 0), 0.0).otherwise(100 * brevity * F.exp(logs / len(kinds)))
+
+
+def corpus_bleu(pairs: DataFrame) -> DataFrame:
+    """SIM-07: one row: four orders summed over the corpus; the kth order without hits counts as 1 / 2^k of a hit."""
+    grams = token_grams()
+    return _wide(overlaps(pairs, grams), list(grams)).select(_bleu_score(list(grams)).alias("bleu"))
 
 
 def corpus_score(pairs: DataFrame) -> DataFrame:
-    """SIM-09: one row: bleu, chrf and their geometric mean."""
-    both = corpus_bleu(pairs).select("bleu", corpus_chrf(pairs).scalar().alias("chrf"))
+    """SIM-09: one row: bleu, chrf and their geometric mean, from one pass over the pairs."""
+    tokens, chars = token_grams(), chrf_grams()
+    w = _wide(overlaps(pairs, tokens | chars), [*tokens, *chars])
+    both = w.select(_bleu_score(list(tokens)).alias("bleu"), _chrf_score(list(chars), 2.0).alias("chrf"))
     return both.select("bleu", "chrf", X.geometric_mean("bleu", "chrf").alias("score"))
