@@ -15,14 +15,10 @@ from pyspark.sql import functions as F
 SPACE = r"(?U)[\s\x1c-\x1f]"
 
 
-def _with_words(pattern: str) -> str:
-    """A pattern in which word characters are letters, numbers of any kind (fractions and subscripts too) and the
-    underscore, as the domain's rules have them; the regular expressions here would leave those numbers out."""
-    word, inside = r"[\p{L}\p{N}_]", r"\p{L}\p{N}_"
-    edge = f"(?:(?<={word})(?!{word})|(?<!{word})(?={word}))"
-    return pattern.replace(r"[\w", f"[{inside}").replace(r"\w", word).replace(r"\b", edge)
-
-
+#: Word characters are letters, numbers of any kind (fractions and subscripts too) and the underscore; ``\\w`` and ``\\b`` of the
+#: regular expressions here would leave those numbers out. What a match begins with comes before what may not stand before it.
+WORD = r"[a-zA-Z0-9_\p{L}\p{N}]"
+START, END = f"(?<!{WORD})", f"(?!{WORD})"
 
 # Characters and marks of the transliteration scheme.
 SUBSCRIPTS = ("₀₁₂₃₄₅₆₇₈₉ₓ", "0123456789x")
@@ -34,10 +30,13 @@ COMMODITIES = {
 }
 FRACTION_GLYPHS = {"0.8333": "⅚", "0.6666": "⅔", "0.3333": "⅓", "0.1666": "⅙", "0.625": "⅝", "0.75": "¾", "0.25": "¼", "0.5": "½"}
 SNAPPED_DECIMALS = ((1 / 6, "16666"), (1 / 4, "25"), (1 / 3, "33333"), (1 / 2, "5"), (2 / 3, "66666"), (3 / 4, "75"), (5 / 6, "83333"))
-GAP_FORMS = _with_words(r"(?iU)<\s*gap\s*>|\.{3,}|…+|\[\.+\]|\bx\b")
-GAP_FORMS_WIDE = _with_words(r"(?iU)<\s*big[\s_\-]*gap\s*>|<\s*gap\s*>|\bbig[\s_\-]*gap\b|\bx(?:\s+x)+\b|\.{3,}|…+|\[\.+\]|\[\s*x\s*\]|\(\s*x\s*\)|(?<!\w)x{2,}(?!\w)|(?<!\w)x(?!\w)|\(\s*large\s+break\s*\)|\(\s*break\s*\)|\(\s*\d+\s+broken\s+lines?\s*\)")
-CDLI_ID = _with_words(r"(?iU)\bP\d{5,7}\b")
-PUBLICATION_REF = _with_words(r"(?iU)\b(?:BM\s*\d{3,8}|[A-Z]{2,8}\s*[IVXLC0-9]{0,4}\s*\d{1,6}[A-Z]{0,2})\b")
+GAP_FORMS = rf"(?iU)(?=[<.…\[x])(?:<\s*gap\s*>|\.{{3,}}|…+|\[\.+\]|{START}x{END})"
+GAP_FORMS_WIDE = rf"(?iU)(?=[<.…\[(xb])(?:<\s*big[\s_\-]*gap\s*>|<\s*gap\s*>|{START}big[\s_\-]*gap{END}|{START}x(?:\s+x)+{END}|\.{{3,}}|…+|\[\.+\]|\[\s*x\s*\]|\(\s*x\s*\)|{START}x{{2,}}{END}|{START}x{END}|\(\s*large\s+break\s*\)|\(\s*break\s*\)|\(\s*\d+\s+broken\s+lines?\s*\))"
+CDLI_ID = rf"(?iU)(?=P){START}P\d{{5,7}}{END}"
+PUBLICATION_REF = rf"(?iU)(?=[A-Z]){START}(?:BM\s*\d{{3,8}}|[A-Z]{{2,8}}\s*[IVXLC0-9]{{0,4}}\s*\d{{1,6}}[A-Z]{{0,2}}){END}"
+PERSON = rf"PN(?<!{WORD}PN){END}"
+REPEATED_WORDS = rf"(?U){START}({WORD}++)(?:\s+\1{END})+"
+LONG_DECIMAL = rf"(?U)(?=\d)(?<!{WORD}|/)\d++\.\d{{4,}}+(?!{WORD}|/)"
 PROMPT_PREFIX = "translate Akkadian to English: "
 FORBIDDEN = "()——<>⌈⌋⌊[]+ʾ;"
 
@@ -159,8 +158,7 @@ def ascii_to_diacritics(c: Column | str) -> Column:
 
 def unify_gaps(c: Column | str, wide: bool = False) -> Column:
     """STR-14; STR-15 with ``wide``."""
-    v = _text(c)  # most texts hold nothing that any form begins with
-    return let(v, lambda t: F.when(t.rlike(r"(?i)[<.…\[(x]|big"), _sub(t, GAP_FORMS_WIDE if wide else GAP_FORMS, GAP)).otherwise(t))
+    return _sub(_text(c), GAP_FORMS_WIDE if wide else GAP_FORMS, GAP)
 
 
 def plain_characters(c: Column | str) -> Column:
@@ -191,9 +189,9 @@ def _snapped(number: Column) -> Column:
     """The decimal text of a number: a near fraction as it is always written, else five places without final zeros."""
     x = number
     whole = F.floor(x + 1e-12)
-    best = reduce(lambda a, b: F.when(F.abs(a["d"]) <= F.abs(b["d"]), a).otherwise(b), [F.struct((x - whole - F.lit(v)).alias("d"), F.lit(s).alias("s")) for v, s in SNAPPED_DECIMALS])
+    near = F.array(*[F.struct(F.abs(x - whole - F.lit(v)).alias("d"), F.lit(k).alias("k"), F.lit(t).alias("s")) for k, (v, t) in enumerate(SNAPPED_DECIMALS)])
     plain = _sub(let(x, _five_places), r"\.?0+$", "")
-    return F.when(F.abs(best["d"]) <= 2e-3, F.concat(whole.cast("string"), F.lit("."), best["s"])).otherwise(plain)
+    return let(F.array_min(near), lambda best: F.when(best["d"] <= 2e-3, F.concat(whole.cast("string"), F.lit("."), best["s"])).otherwise(plain))
 
 
 def snap_decimals(c: Column | str) -> Column:
@@ -201,12 +199,11 @@ def snap_decimals(c: Column | str) -> Column:
 
     The text is cut at the numbers, so any number of matches is handled in one pass of array functions.
     """
-    pattern = _with_words(r"(?U)(?<![\w/])\d+\.\d{4,}(?![\w/])")
 
     def rewrite(text: Column) -> Column:
-        found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda x: let(x.cast("double"), _snapped))
-        parts = F.zip_with(F.split(text, pattern), found, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-        return F.when(text.rlike(pattern), F.array_join(parts, "")).otherwise(text)
+        found = F.transform(F.regexp_extract_all(text, F.lit(LONG_DECIMAL), F.lit(0)), lambda x: let(x.cast("double"), _snapped))
+        parts = F.zip_with(F.split(text, LONG_DECIMAL), found, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+        return F.when(text.rlike(LONG_DECIMAL), F.array_join(parts, "")).otherwise(text)
 
     return let(_text(c), rewrite)
 
@@ -241,10 +238,10 @@ def _where(c: Column, mark: str, body: Callable[[Column], Column]) -> Column:
 def postprocess(c: Column | str) -> Column:
     """STR-19."""
     v = _where(_text(c), "[", lambda t: _sub(t, r"(?iU)\s*\[Commodities:[^\]]*\]", ""))
-    v = _where(unify_gaps(v, wide=True), "PN", lambda t: _sub(t, _with_words(r"(?U)\bPN\b"), GAP))
+    v = _where(unify_gaps(v, wide=True), "PN", lambda t: _sub(t, PERSON, GAP))
     v = _where(_where(v, "0.", fraction_glyphs), GAP, lambda t: _sub(t, r"(?U)(?:<gap>\s*){2,}", GAP))
     v = F.replace(F.translate(F.replace(v, F.lit(GAP), F.lit("\ue000")), FORBIDDEN, ""), F.lit("\ue000"), F.lit(f" {GAP} "))
-    v = _sub(v, _with_words(r"(?U)\b(\w+)(?:\s+\1\b)+"), "$1")
+    v = _sub(v, REPEATED_WORDS, "$1")
     v = _sub(_sub(v, r"(?U)\s+([.,:])", "$1"), r"([.,])\1+", "$1")
     return collapse_space(v)
 
