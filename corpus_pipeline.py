@@ -19,35 +19,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import lines, packing, simhash, substrings, toxicity
-from corpusloom.llm.common import load, materialise, new_folder
+from corpusloom.llm.common import load, materialise, new_folder, numbered, place_of
 from corpusloom.llm.queries import vocabulary
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _only(docs: DataFrame) -> DataFrame:
+    """The columns of documents, found by their exact names."""
+    return numbered(docs).select(*[F.col(place_of(docs, c)).alias(c) for c in COLUMNS])
+
+
 def _as_documents(df: DataFrame) -> DataFrame:
     """The columns of documents, n_chars counted anew."""
     return df.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(*COLUMNS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = _only(docs)
     machine = toxicity.train(docs, load(spark, sf_dir, "labels"))
-    return toxicity.with_score(docs, machine, "__score").filter(F.col("__score") < toxicity.CUT).select(*COLUMNS)
+    return toxicity.with_score(docs, machine, "score").filter(F.col("score") < toxicity.CUT).select(*COLUMNS)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _as_documents(lines.drop_common_lines(docs))
+    return _as_documents(lines.drop_common_lines(_only(docs)))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose doc_id names their group; a group without any doc_id keeps its rows."""
+    docs = _only(docs)
     groups = materialise(simhash.near_groups(docs), "near")
     gone = groups.filter("component_id IS NOT NULL AND NOT doc_id <=> component_id").select("doc_id").distinct()
     return docs.join(gone.hint("merge"), docs.doc_id.eqNullSafe(gone.doc_id), "left_anti").select(*COLUMNS)
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _as_documents(substrings.drop_repeats(docs))
+    return _as_documents(substrings.drop_repeats(_only(docs)))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
