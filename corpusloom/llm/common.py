@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -67,23 +68,33 @@ def as_docs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
     return numbered(df).select(F.col(place_of(df, id_col)).cast("long").alias("doc_id"), text.alias("text"), *[F.col(place_of(df, c)).alias(c) for c in keep])
 
 
-def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches without empty ones, halved until a part has ``SLICE`` bytes at most or is a single row."""
+def give_back() -> None:
+    """Return free memory to the system: Python workers stay on between tasks, beside those of other stages."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def slices(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batches without empty ones, halved until a part has ``most`` bytes (``SLICE``) or is a single row."""
+    most = most or SLICE
     todo: list[pa.RecordBatch] = []
     for b in batches:
         todo.append(b)
         while todo:
             b = todo.pop()
-            if b.num_rows > 1 and b.nbytes > SLICE:
+            if b.num_rows > 1 and b.nbytes > most:
                 half = b.num_rows // 2
                 todo += [b.slice(half), b.slice(0, half)]
             elif b.num_rows:
                 yield b
+    b = None
+    give_back()
 
 
-def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple[list, ...]]:
+def rows_of(batches: Iterator[pa.RecordBatch], *names: str, most: int | None = None) -> Iterator[tuple[list, ...]]:
     """The named columns as Python lists, some megabytes of them at a time."""
-    for b in slices(batches):
+    for b in slices(batches, most):
         yield tuple(b.column(b.schema.get_field_index(n)).to_pylist() for n in names)
 
 

@@ -5,6 +5,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -549,8 +550,26 @@ def test_count_of_any_text(text):
     assert sum(c.pieces(found)) == len(c.model.encode(text))
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(-(2**62), 2**62)), st.lists(st.integers(-(2**31), 2**31 - 1)), st.binary())
+def test_packed_arrays(long, short, raw):
+    got = tokencount.unpack(tokencount.pack(np.array(long, np.int64), np.array(short, np.int32), raw))
+    assert got[0].tolist() == long and got[1].tolist() == short and got[2] == raw
+
+
+def test_every_pretoken_is_counted_once(spark, docs, monkeypatch):
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [i], "text": [t]}) for i, t in enumerate([b"a b c a", b"c d", b"a d e", b""])]
+    rows = [r for b in tokencount._blocks(batches, 2) for r in b.to_pylist()]
+    words, asked = sorted((r for r in rows if r["part"] >= 0), key=lambda r: r["part"]), []
+    c = tokencount.counter(PIECES)
+    monkeypatch.setattr(c, "pieces", lambda new, f=c.pieces: asked.extend(new) or f(new))
+    list(tokencount._count_parts([pa.RecordBatch.from_pylist(words, schema=tokencount.BLOCKS)], PIECES))
+    assert sorted(asked) == [b"a", b"b", b"c", b"d", b"e"]
+
+
 def test_blocks_of_any_size(rows, docs, monkeypatch):
     monkeypatch.setattr(common, "SLICE", 3000)
+    monkeypatch.setattr(tokencount, "BLOCK", 3000)
     model = tokencount.counter(PIECES).model
     assert listed(tokencount.token_counts(docs, PIECES), "doc_id", "n_tokens") == sorted((i, len(model.encode(t or ""))) for i, t in rows)
 

@@ -25,12 +25,12 @@ def test_pipeline_against_brute_force(spark):
     assert {r.doc_id for r in packed} == {i for i, _ in rows} and max(r.offset + r.length for r in packed) <= 4096
 
 
-CLASHING = "doc_id long, text string, lang string, source string, n_chars long, n_words long, n_lines string, n_cut int, component_id long, score double, toxic int, length long"
+CLASHING = "doc_id long, text string, lang string, source string, n_chars long, n_words long, n_lines string, n_cut int, component_id long, score double, toxic int, length long, Text string, `a.b` string, __score double"
 
 
 def test_odd_rows_and_clashing_columns(spark):
     rows = [(1, None, "en", "a", 0), (2, "", None, None, None), (3, "x", "en", "a", 1), (3, "x", "en", "a", 1), (None, "y z", "en", "a", 3), (None, "y z", "en", "a", 3), (4, "long " * 30_000, "en", "a", 1)]
-    docs = spark.createDataFrame([(*r, 1, "l", 1, 1, 0.9, 1, 1) for r in rows], CLASHING)
+    docs = spark.createDataFrame([(*r, 1, "l", 1, 1, 0.9, 1, 1, "t", "x", 0.9) for r in rows], CLASHING)
     kept = []
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
