@@ -16,16 +16,15 @@ its attempt's own, and only the manifest makes it count, so lost or repeated tas
 
 from __future__ import annotations
 
-import bisect
 import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import as_docs, materialise, new_folder, out_batch, rows_of
+from .common import as_docs, materialise, new_folder, numbered, out_batch, place_of, rows_of
 from .mph import PerfectHash, keys_of
 from .wordbpe import encoder
 
@@ -107,11 +106,11 @@ def _numbered(ids: list[int | None], last: tuple[int | None, int]) -> tuple[list
 
 
 def write_ids(docs: DataFrame, tokenizer: str, end_id: int, folder: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode the whole texts and write the shards; the manifest, in order, with ``before`` (ids in earlier shards).
+    """Encode the whole texts and write the shards; the manifest with ``before`` (ids in earlier shards).
 
     Null and empty texts have the end id only. Rows that repeat a doc_id are kept, in the order of their texts; a null
     doc_id comes first. An empty table gives an empty manifest. Other columns are not read. The manifest has a row for
-    each shard, which is all that the driver sees.
+    each shard, and stays a table: the driver sees none of it.
     """
 
     def write_all(batches):
@@ -132,13 +131,29 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, folder: str, id_col:
 
     rows = as_docs(docs, id_col, text_col)
     sorted_ = rows.repartitionByRange(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id").sortWithinPartitions("doc_id", "text")
-    written = materialise(sorted_.mapInArrow(write_all, "shard string, first_id long, first_nth long, docs long, ids long, width int"), "manifest")
-    shards, before = sorted(written.collect(), key=lambda r: (r.first_id, r.first_nth)), 0
-    out = []
-    for r in shards:
-        out.append((*r, before))
-        before += r.ids
-    return rows.sparkSession.createDataFrame(out, "shard string, first_id long, first_nth long, docs long, ids long, width int, before long")
+    written = materialise(sorted_.mapInArrow(write_all, "shard string, first_id long, first_nth long, docs long, ids long, width int"), "shards")
+    earlier = Window.orderBy("first_id", "first_nth").rowsBetween(Window.unboundedPreceding, -1)  # a row for each shard
+    return materialise(written.withColumn("before", F.coalesce(F.sum("ids").over(earlier), F.lit(0))), "manifest")
+
+
+class Manifest:
+    """Which shard holds a document, and how many ids come before that shard; read by each task from the manifest's folder."""
+
+    def __init__(self, folder: str):
+        from pyarrow import dataset
+
+        store, root = open_store(folder)
+        rows = dataset.dataset(root, filesystem=store, format="parquet").to_table(["first_id", "first_nth", "before", "shard"]).sort_by([("first_id", "ascending"), ("first_nth", "ascending")])
+        self.first_id, self.first_nth, self.before = (rows.column(k).to_numpy() for k in range(3))
+        self.shards = rows.column(3)
+
+    def find(self, ids: np.ndarray, nth: np.ndarray) -> np.ndarray:
+        """The last shard that does not begin after each document, -1 if all do."""
+        at = np.searchsorted(self.first_id, ids, "right") - 1
+        for k in np.flatnonzero((at >= 0) & (self.first_id[at] == ids)).tolist():  # shards may begin within the rows of one doc_id
+            while at[k] >= 0 and self.first_id[at[k]] == ids[k] and self.first_nth[at[k]] > nth[k]:
+                at[k] -= 1
+        return at
 
 
 def read_ids(keys: DataFrame, manifest: DataFrame, folder: str, id_col: str = "doc_id") -> DataFrame:
@@ -147,31 +162,33 @@ def read_ids(keys: DataFrame, manifest: DataFrame, folder: str, id_col: str = "d
     ``keys`` must list a doc_id as often as it was written for all its rows to be found; a doc_id that was never
     written gives a row of nulls. A null doc_id is a key like any other.
     """
-    shards = sorted(manifest.collect(), key=lambda r: r.before)  # a row for each shard
-    if not shards:
-        return keys.select(F.col(id_col).cast("long").alias("doc_id"), *[F.lit(None).cast("long").alias(c) for c in ("start", "n_tokens", "ids_crc32")])
-    names, before = [r.shard for r in shards], [r.before for r in shards]
-    firsts = [(r.first_id, r.first_nth) for r in shards]
+    table = new_folder(keys.sparkSession, "manifest")
+    manifest.write.parquet(table)
 
     def read_all(batches):
-        last, opened, of = (None, 0), None, None
+        known, last, opened, of = None, (None, 0), None, None
         for (ids,) in rows_of(batches, "doc_id"):
+            known = known or Manifest(table)
             numbers, nth, last = _numbered(ids, last)
-            where = [max(0, bisect.bisect_right(firsts, k) - 1) for k in zip(numbers, nth)]
-            cuts = [0, *(i for i in range(1, len(where)) if where[i] != where[i - 1]), len(where)]
+            numbers, nth = np.array(numbers, np.int64), np.array(nth, np.int64)
+            where = known.find(numbers, nth)
+            cuts = [0, *(np.flatnonzero(where[1:] != where[:-1]) + 1).tolist(), len(where)]
             start, size, crc = [], [], []
             for a, b in zip(cuts, cuts[1:]):
+                if where[a] < 0:
+                    start, size, crc = (x + [None] * (b - a) for x in (start, size, crc))
+                    continue
                 if of != where[a]:
-                    opened, of = Shard(folder, names[where[a]]), where[a]
-                offsets, lengths = opened.find(np.array(numbers[a:b], np.int64), np.array(nth[a:b], np.int64))
+                    opened, of = Shard(folder, known.shards[where[a]].as_py()), where[a]
+                offsets, lengths = opened.find(numbers[a:b], nth[a:b])
                 for o, n in zip(offsets.tolist(), lengths.tolist()):
-                    start.append(None if n < 0 else before[of] + o)
+                    start.append(None if n < 0 else int(known.before[of]) + o)
                     size.append(None if n < 0 else n)
                     crc.append(None if n < 0 else zlib.crc32(opened.read(o, n).tobytes()))
             yield out_batch(READ, doc_id=ids, start=start, n_tokens=size, ids_crc32=crc)
 
-    rows = keys.select(F.col(id_col).cast("long").alias("doc_id"))
-    dealt = rows.repartitionByRange(max(1, min(len(names), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))), "doc_id")
+    rows = numbered(keys).select(F.col(place_of(keys, id_col)).cast("long").alias("doc_id"))
+    dealt = rows.repartitionByRange(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
     return dealt.sortWithinPartitions("doc_id").mapInArrow(read_all, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
@@ -180,4 +197,4 @@ def id_files(docs: DataFrame, tokenizer: str, end_id: int = 2, folder: str | Non
     spark: SparkSession = docs.sparkSession
     folder = folder or new_folder(spark, "ids")
     manifest = write_ids(docs, tokenizer, end_id, folder, id_col, text_col)
-    return read_ids(docs.select(id_col), manifest, folder, id_col)
+    return read_ids(docs, manifest, folder, id_col)

@@ -330,8 +330,16 @@ def test_id_files(rows, docs, spark, tmp_path):
 
 
 def test_small_shards(rows, docs, tmp_path, monkeypatch):
+    whole = listed(idfiles.id_files(docs, WORDS, 2, f"file://{tmp_path}/whole"), "doc_id", "start", "n_tokens", "ids_crc32")
     monkeypatch.setattr(idfiles, "SHARD_IDS", 50)
-    assert idfiles.id_files(docs, WORDS, 2, f"file://{tmp_path}/ids").count() == len(rows)
+    assert listed(idfiles.id_files(docs, WORDS, 2, f"file://{tmp_path}/ids"), "doc_id", "start", "n_tokens", "ids_crc32") == whole
+
+
+def test_shards_that_begin_within_a_doc_id(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(idfiles, "SHARD_IDS", 3)
+    df = spark.createDataFrame([(7, f"some words {k}") for k in range(9)] + [(None, "no id"), (8, "last"), (None, None)], "doc_id long, text string")
+    out = idfiles.id_files(df, WORDS, 2, f"file://{tmp_path}/ids").collect()
+    assert len({r.start for r in out}) == 12 and sum(r.n_tokens for r in out) == max(r.start + r.n_tokens for r in out)
 
 
 @settings(max_examples=50, deadline=None)
