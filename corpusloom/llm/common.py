@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 WHITE = b" \t\n\v\f\r"
 #: Bytes of a batch that a Python worker turns into its own objects at a time.
 SLICE = 12 << 20
+#: Bytes of a batch on its way to a Python worker and back: texts differ in length, so rows are no bound on memory.
+BATCH_BYTES = 16 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,8 +64,17 @@ def place_of(df: DataFrame, name: str) -> str:
     return f"c{exact[0]}"
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """The session's Arrow batches hold ``BATCH_BYTES`` at most, or less if it says so already."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
 def as_docs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id`` as long, ``text`` as UTF-8 bytes (null: empty), and the columns to keep; all other columns go, whatever their names."""
+    """``doc_id`` as long, ``text`` as UTF-8 bytes (null: empty), and the columns to keep; all other columns go, whatever their names. Sets ``bound_batches``."""
+    bound_batches(df.sparkSession)
     text = F.coalesce(F.col(place_of(df, text_col)).cast("binary"), F.lit(b""))
     return numbered(df).select(F.col(place_of(df, id_col)).cast("long").alias("doc_id"), text.alias("text"), *[F.col(place_of(df, c)).alias(c) for c in keep])
 

@@ -78,6 +78,17 @@ def test_empty_tables(spark, empty):
     assert [o.count() for o in outs] == [0] * 10
 
 
+def test_batches_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(common, "BATCH_BYTES", 1 << 16)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    rows = common.as_docs(spark.range(50).selectExpr("id AS doc_id", "repeat('long text ', 1000) AS text"))
+    sizes = lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches)
+    most = max(r.n for r in rows.mapInArrow(sizes, "n long").collect())
+    spark.conf.set(key, before)
+    assert most <= 8
+
+
 def test_repeated_rows_and_null_ids(spark, rows):
     twice = spark.createDataFrame([(7, "same text here"), (7, "same text here"), (7, "another text"), (None, "same text here"), (None, None), (9, None)], "doc_id long, text string")
     labels = spark.createDataFrame([(7, 1, 1), (7, 1, 1), (9, 0, 0)], "doc_id long, quality int, toxic int")
