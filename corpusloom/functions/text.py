@@ -34,6 +34,12 @@ GAP_FORMS = rf"(?iU)(?=[<.…\[x])(?:<\s*gap\s*>|\.{{3,}}|…+|\[\.+\]|{START}x{
 GAP_FORMS_WIDE = rf"(?iU)(?=[<.…\[(xb])(?:<\s*big[\s_\-]*gap\s*>|<\s*gap\s*>|{START}big[\s_\-]*gap{END}|{START}x(?:\s+x)+{END}|\.{{3,}}|…+|\[\.+\]|\[\s*x\s*\]|\(\s*x\s*\)|{START}x{{2,}}{END}|{START}x{END}|\(\s*large\s+break\s*\)|\(\s*break\s*\)|\(\s*\d+\s+broken\s+lines?\s*\))"
 CDLI_ID = rf"(?iU)(?=P){START}P\d{{5,7}}{END}"
 PUBLICATION_REF = rf"(?iU)(?=[A-Z]){START}(?:BM\s*\d{{3,8}}|[A-Z]{{2,8}}\s*[IVXLC0-9]{{0,4}}\s*\d{{1,6}}[A-Z]{{0,2}}){END}"
+#: The same two as SQL engines with RE2 read them: word characters, digits and white space are ASCII, so a letter with an accent ends
+#: a word; of other letters only the two that fold to S and K count as letters.
+_ASCII = "[a-zA-Z0-9_]"
+_EDGE = f"(?:(?<={_ASCII})(?!{_ASCII})|(?<!{_ASCII})(?={_ASCII}))"
+CDLI_ID_ASCII = rf"(?=[Pp]){_EDGE}[Pp][0-9]{{5,7}}{_EDGE}"
+PUBLICATION_REF_ASCII = rf"(?=[A-Za-z\u017f\u212a]){_EDGE}(?:[Bb][Mm][\t\n\f\r ]*[0-9]{{3,8}}|[A-Za-z\u017f\u212a]{{2,8}}[\t\n\f\r ]*[IVXLCivxlc0-9]{{0,4}}[\t\n\f\r ]*[0-9]{{1,6}}[A-Za-z\u017f\u212a]{{0,2}}){_EDGE}"
 PERSON = rf"PN(?<!{WORD}PN){END}"
 REPEATED_WORDS = rf"(?U){START}({WORD}++)(?:\s+\1{END})+"
 LONG_DECIMAL = rf"(?U)(?=\d)(?<!{WORD}|/)\d++\.\d{{4,}}+(?!{WORD}|/)"
@@ -116,14 +122,14 @@ def collapse_space_ends(c: Column) -> Column:
     return _sub(c, f"^{SPACE}+|{SPACE}+$", "")
 
 
-def cdli_ids(c: Column | str) -> Column:
-    """STR-09: sorted, distinct, upper case."""
-    return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(_text(c), F.lit(CDLI_ID), F.lit(0)), F.upper)))
+def cdli_ids(c: Column | str, ascii_words: bool = False) -> Column:
+    """STR-09: sorted, distinct, upper case; ``ascii_words``: words as RE2 has them."""
+    return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(_text(c), F.lit(CDLI_ID_ASCII if ascii_words else CDLI_ID), F.lit(0)), F.upper)))
 
 
-def publication_refs(c: Column | str) -> Column:
-    """STR-10: sorted, distinct, in the form of normalize_ref."""
-    found = F.transform(F.regexp_extract_all(_text(c), F.lit(PUBLICATION_REF), F.lit(0)), normalize_ref)
+def publication_refs(c: Column | str, ascii_words: bool = False) -> Column:
+    """STR-10: sorted, distinct, in the form of normalize_ref; ``ascii_words``: words as RE2 has them."""
+    found = F.transform(F.regexp_extract_all(_text(c), F.lit(PUBLICATION_REF_ASCII if ascii_words else PUBLICATION_REF), F.lit(0)), normalize_ref)
     return F.array_sort(F.array_distinct(F.filter(found, lambda x: x != "")))
 
 
