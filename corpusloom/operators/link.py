@@ -34,14 +34,15 @@ def ref_lookup(published: DataFrame, least: int = 4) -> DataFrame:
     return published.select(F.explode(F.array_distinct(keys)).alias("key"), *RECORD)
 
 
-def page_matches(pages: DataFrame, published: DataFrame, akkadian_only: bool = True) -> DataFrame:
+def page_matches(pages: DataFrame, published: DataFrame, akkadian_only: bool = True, ascii_words: bool = False) -> DataFrame:
     """ALN-09: a row for each page, record and tier (and id, for the CDLI tiers).
 
     Keys are extracted once for each page and exploded without its text; one equi-join finds CDLI ids and another
-    references; the text joins again for the pages that matched. What is broadcast is left to the planner, by size.
+    references; the text joins again for the pages that matched. What is broadcast is left to the planner, by size. ``ascii_words``: see
+    ``text.cdli_ids``.
     """
     pages = (only_akkadian(pages) if akkadian_only else pages).withColumn("digest", F.xxhash64("page_text"))
-    keyed = pages.select("pdf_name", "page", "has_akkadian", "digest", X.cdli_ids("page_text").alias("page_text_cdli"), X.cdli_ids("pdf_name").alias("pdf_name_cdli"), X.publication_refs("page_text").alias("page_text_ref"), X.publication_refs("pdf_name").alias("pdf_name_ref"))
+    keyed = pages.select("pdf_name", "page", "has_akkadian", "digest", X.cdli_ids("page_text", ascii_words).alias("page_text_cdli"), X.cdli_ids("pdf_name", ascii_words).alias("pdf_name_cdli"), X.publication_refs("page_text", ascii_words).alias("page_text_ref"), X.publication_refs("pdf_name", ascii_words).alias("pdf_name_ref"))
 
     def tier(kind: str) -> DataFrame:
         tagged = lambda c: F.transform(c, lambda k: F.struct(k.alias("key"), F.lit(c).alias("match_source")))

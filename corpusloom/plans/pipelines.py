@@ -26,6 +26,7 @@ class PairOptions:
 class LinkOptions:
     akkadian_only: bool = True
     min_confidence: float = 0.80
+    ascii_words: bool = False
 
 
 @dataclass(frozen=True)
@@ -63,7 +64,7 @@ def build_pairs(train: DataFrame, markers: DataFrame, options: PairOptions = Pai
 
 
 def link_pages(pages: DataFrame, published: DataFrame, options: LinkOptions = LinkOptions()) -> dict[str, DataFrame]:
-    matches = link.page_matches(pages, published, options.akkadian_only)
+    matches = link.page_matches(pages, published, options.akkadian_only, options.ascii_words)
     short = link.shortlist(matches, options.min_confidence)
     return {"matches": matches, "shortlist": short, "summary": link.extraction_summary(matches, short)}
 
